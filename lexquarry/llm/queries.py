@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexquarry.llm import warc
 from lexquarry.llm.common import read
 
 
@@ -29,10 +30,34 @@ def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    from lexquarry.llm.pii import KINDS, pseudonymise
+
+    out = pseudonymise(read(spark, folder, "documents").select("doc_id", "text"))
+    counts = [F.size(F.filter("findings", lambda f, k=k: f["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return out.select("doc_id", *counts, "findings", "text")
+
+
+def op10_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    from lexquarry.llm.warc import derive, responses
+
+    return derive(responses(read(spark, folder, "pages"))).select(
+        F.col("source_id").alias("page_id"), F.col("record_id").alias("response_id"), "payload_digest",
+        F.col("metadata.record_id").alias("metadata_id"), F.col("conversion.record_id").alias("conversion_id"),
+        F.col("metadata.refers_to").alias("metadata_refers_to"), F.col("conversion.refers_to").alias("conversion_refers_to"),
+        "target_uri", "title", "language", "n_outlinks",
+        F.col("metadata.block_digest").alias("metadata_digest"), F.col("metadata.content_length").alias("metadata_length"),
+        F.col("conversion.block_digest").alias("conversion_digest"), F.col("conversion.content_length").alias("conversion_length"),
+        F.col("conversion.block").alias("text"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_source_mixing": op8_source_mixing,
+    "op9_pii_pseudonyms": op9_pii_pseudonyms,
+    "op10_warc_derivatives": op10_warc_derivatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -74,4 +99,5 @@ ORACLE_SQL: dict[str, str] = {
                (greatest(0, least(begins + size, quota) - begins) + greatest(0, least(begins + size + source_size, quota) - begins - source_size))::BIGINT AS taken
         FROM laid
     """,
+    "op10_warc_derivatives": warc.oracle(),
 }
