@@ -17,6 +17,38 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(read(spark, folder, "documents"), n=4, distance=4)
 
 
+def op2_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    from lexquarry.llm.lm import score_texts
+
+    return score_texts(read(spark, folder, "documents"))
+
+
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from lexquarry.llm.secrets import find_secrets
+
+    found = find_secrets(read(spark, folder, "documents"))
+    base = F.filter("findings", lambda f: f["kind"] != "format")
+    counts = [F.size(F.filter("findings", lambda f, k=k: f["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    listed = lambda spans: F.array_join(F.transform(spans, lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))), ",")
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed("findings").alias("spans"))
+
+
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from lexquarry.llm.toxicity import held_out_column, learn, score_toxicity
+
+    documents = read(spark, folder, "documents").select("doc_id", "text")
+    lexicon = learn(documents, read(spark, folder, "labels"))
+    scored = score_toxicity(documents, lexicon)
+    return scored.select("doc_id", held_out_column(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op5_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    from lexquarry.llm.repeats import remove_repeats
+
+    cut = remove_repeats(read(spark, folder, "documents"), length=400)
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from lexquarry.llm.exact_dedup import exact_groups
 
@@ -54,6 +86,10 @@ def op10_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_lm_scores": op2_lm_scores,
+    "op3_secret_scan": op3_secret_scan,
+    "op4_toxicity": op4_toxicity,
+    "op5_repeated_bytes": op5_repeated_bytes,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_source_mixing": op8_source_mixing,
     "op9_pii_pseudonyms": op9_pii_pseudonyms,
