@@ -49,6 +49,13 @@ def op5_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from lexquarry.llm.decontam import find_contamination
+
+    found = find_contamination(read(spark, folder, "documents").select("doc_id", "text"), read(spark, folder, "benchmark"))
+    return found.select("doc_id", (F.size("matches") > 0).alias("contaminated"), F.size("matches").cast("long").alias("n_items"), F.transform("matches", lambda m: m["item"]).alias("item_ids"), "matches")
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from lexquarry.llm.exact_dedup import exact_groups
 
@@ -90,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_toxicity": op4_toxicity,
     "op5_repeated_bytes": op5_repeated_bytes,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_source_mixing": op8_source_mixing,
     "op9_pii_pseudonyms": op9_pii_pseudonyms,
