@@ -43,8 +43,10 @@ _RANDOM = np.random.default_rng(20240229)
 _BYTES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-#: Contexts of a bucket that one task refines together; larger buckets are counted string by string.
-TOGETHER = 1024
+#: Contexts of a bucket that one task refines together (about 100 MB); larger buckets are counted string by string.
+TOGETHER = 32768
+#: Contexts that are refined at a time, but for buckets that have more; and offsets that are sorted at a time.
+CHUNK, COLUMNS = 1024, 32
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -162,45 +164,39 @@ def _refine(length: int, gram: int):
     reach = length - gram
 
     def spans(part: pd.DataFrame) -> pd.DataFrame:
-        contexts, valid = _padded(part["context"].tolist(), part["left"].to_numpy(np.int64), length, gram)
-        found = repeated_strings(part["g"].to_numpy(np.int64), string_ids(contexts, length), valid)
+        ids, valid = [], []
+        for i in range(0, len(part), CHUNK):
+            own = part.iloc[i : i + CHUNK]
+            contexts, whole = _padded(own["context"].tolist(), own["left"].to_numpy(np.int64), length, gram)
+            ids.append(string_ids(contexts, length))
+            valid.append(whole)
+        ids, valid, g = np.concatenate(ids), np.concatenate(valid), part["g"].to_numpy(np.int64)
+        found = np.concatenate([repeated_strings(g, ids[:, i : i + COLUMNS], valid[:, i : i + COLUMNS]) for i in range(0, reach + 1, COLUMNS)], axis=1)
         some = found.any(axis=1)
         first = found.argmax(axis=1)
         last = found.shape[1] - 1 - found[:, ::-1].argmax(axis=1)
-        out = pd.DataFrame({"g": part["g"].to_numpy(), "e": part["e"].to_numpy(), "lo": first - reach, "hi": last - reach + length})
+        out = pd.DataFrame({"g": g, "e": part["e"].to_numpy(), "lo": first - reach, "hi": last - reach + length})
         return out[some]
 
+    def chunks(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """Whole buckets, as many as make a chunk."""
+        g, at = rows["g"].to_numpy(), 0
+        while at < len(rows):
+            end = int(np.searchsorted(g, g[min(at + CHUNK, len(rows)) - 1], "right"))
+            yield spans(rows.iloc[at:end])
+            at = end
+
     def refine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
+        rows = None
         for batch in batches:
-            held.append(batch)
-            if sum(map(len, held)) < 2 * TOGETHER:
-                continue
-            rows = pd.concat(held, ignore_index=True)
+            rows = batch if rows is None else pd.concat([rows, batch], ignore_index=True)
             # the last bucket may go on in the next batch
-            cut = int(np.searchsorted(rows["g"].to_numpy(), rows["g"].iloc[-1], "left"))
-            g = rows["g"].to_numpy()
-            at = 0
-            while at < cut:
-                end = min(at + TOGETHER, cut)
-                if end < cut:  # whole buckets only
-                    end = int(np.searchsorted(g, g[end], "left")) or end
-                    if end <= at:
-                        end = int(np.searchsorted(g, g[at], "right"))
-                yield spans(rows.iloc[at:end])
-                at = end
-            held = [rows.iloc[cut:]]
-        if held and sum(map(len, held)):
-            rows = pd.concat(held, ignore_index=True)
-            g, at = rows["g"].to_numpy(), 0
-            while at < len(rows):
-                end = min(at + TOGETHER, len(rows))
-                if end < len(rows):
-                    end = int(np.searchsorted(g, g[end], "left"))
-                    if end <= at:
-                        end = int(np.searchsorted(g, g[at], "right"))
-                yield spans(rows.iloc[at:end])
-                at = end
+            cut = int(np.searchsorted(rows["g"].to_numpy(), rows["g"].iloc[-1], "left")) if len(rows) >= 2 * CHUNK else 0
+            if cut:
+                yield from chunks(rows.iloc[:cut])
+                rows = rows.iloc[cut:]
+        if rows is not None:
+            yield from chunks(rows)
 
     return refine
 
