@@ -20,12 +20,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Parts that are not text; what a reader doesn't see.
-HIDDEN = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<title\b[^>]*>.*?</title\s*>|<noscript\b[^>]*>.*?</noscript\s*>|<template\b[^>]*>.*?</template\s*>"
+HIDDEN = r"(?is)<(?:!--.*?-->|script\b[^>]*>.*?</script\s*>|style\b[^>]*>.*?</style\s*>|title\b[^>]*>.*?</title\s*>|noscript\b[^>]*>.*?</noscript\s*>|template\b[^>]*>.*?</template\s*>)"
 #: Elements that begin and end a line.
 BREAKS = r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|figcaption|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul)\b(?:[^'\">]|\"[^\"]*\"|'[^']*')*>"
 #: Java keeps the states of a group's repetition on its stack, so it must not go back into one.
 BREAKS_JAVA = BREAKS.replace("*>", "*+>")
-TAGS = r"</?[A-Za-z](?:[^'\">]|\"[^\"]*\"|'[^']*')*>|<![A-Za-z][^>]*>"
+TAGS = r"<(?:/?[A-Za-z](?:[^'\">]|\"[^\"]*\"|'[^']*')*>|![A-Za-z][^>]*>)"
 TAGS_JAVA = TAGS.replace("')*>", "')*+>")
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 LANGUAGE = r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z0-9-]+)"
@@ -39,40 +39,40 @@ ENTITIES = {
 NUMBER = r"&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"
 
 
-def _numbers(text: Column) -> Column:
-    """Numbered characters; those outside Unicode, and surrogates, become U+FFFD."""
-    found = F.regexp_extract_all(text, F.lit(f"({NUMBER})"), 1)
-
-    def character(m: Column) -> Column:
-        code = F.when(m.rlike("^&#[xX]"), F.conv(F.regexp_extract(m, "([0-9A-Fa-f]+);", 1), 16, 10)).otherwise(F.regexp_extract(m, "([0-9]+);", 1)).cast("long")
-        code = F.when((code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), 0xFFFD).otherwise(code)
-        return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-
-    rest = F.split(text, NUMBER, -1)
-    joined = F.concat(F.array_join(F.zip_with(F.slice(rest, F.lit(1), F.size(found)), F.transform(found, character), lambda a, b: F.concat(a, b)), ""), F.element_at(rest, -1))
-    return F.when(F.instr(text, "&#") > 0, joined).otherwise(text)
+def _number(m: Column) -> Column:
+    """The character of a numbered one; those outside Unicode, and surrogates, become U+FFFD."""
+    code = F.when(m.rlike("^&#[xX]"), F.conv(F.regexp_extract(m, "([0-9A-Fa-f]+);", 1), 16, 10)).otherwise(F.regexp_extract(m, "([0-9]+);", 1)).cast("long")
+    code = F.when((code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), 0xFFFD).otherwise(code)
+    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
 
 
-def _characters(text: Column) -> Column:
+def _characters(df: DataFrame, column: str) -> DataFrame:
+    """Named and numbered characters in place of their names; step by step, so that each step runs once."""
+    text = F.col(column)
     named = text
     for name, character in ENTITIES.items():
         named = F.replace(named, F.lit(f"&{name};"), F.lit(character))
-    named = F.when(F.instr(text, "&") > 0, named).otherwise(text)
-    return F.replace(_numbers(named), F.lit("&amp;"), F.lit("&"))
+    df = df.withColumn(column, F.when(F.instr(text, "&") > 0, named).otherwise(text))
+    rest = F.split(text, NUMBER, -1)
+    found = F.regexp_extract_all(text, F.lit(f"({NUMBER})"), 1)
+    joined = F.concat(F.array_join(F.zip_with(F.slice(rest, F.lit(1), F.size(found)), F.transform(found, _number), lambda a, b: F.concat(a, b)), ""), F.element_at(rest, -1))
+    df = df.withColumn(column, F.when(F.instr(text, "&#") > 0, joined).otherwise(text))
+    return df.withColumn(column, F.replace(text, F.lit("&amp;"), F.lit("&")))
 
 
 def _tidy(text: Column) -> Column:
     """Single spaces, no empty lines, no white space at either end."""
-    text = F.regexp_replace(text, "[ \t\x0b\f\r\u00a0]+", " ")
-    text = F.regexp_replace(text, " ?(?:\n ?)+", "\n")
+    text = F.regexp_replace(text, "[ \t\x0b\f\r\u00a0]{2,}|[\t\x0b\f\r\u00a0]", " ")
+    text = F.regexp_replace(text, " ?\n[\n ]*", "\n")
     return F.regexp_replace(text, r"^[ \n]+|[ \n]+$", "")
 
 
-def plain_text(html: Column) -> Column:
-    """What a reader sees of a page, one line per block."""
-    text = F.regexp_replace(html, HIDDEN, "")
+def plain_text(df: DataFrame, html_col: str, out_col: str) -> DataFrame:
+    """``df`` with what a reader sees of a page, one line per block."""
+    text = F.regexp_replace(F.col(html_col), HIDDEN, "")
     text = F.regexp_replace(text, BREAKS_JAVA, "\n")
-    return _tidy(_characters(F.regexp_replace(text, TAGS_JAVA, "")))
+    df = _characters(df.withColumn(out_col, F.regexp_replace(text, TAGS_JAVA, "")), out_col)
+    return df.withColumn(out_col, _tidy(F.col(out_col)))
 
 
 def record_id(*parts: Column) -> Column:
@@ -97,7 +97,7 @@ def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
 def derive(responses: DataFrame) -> DataFrame:
     """Per response its metadata and conversion record, as the structs ``metadata`` and ``conversion``; other columns stay."""
-    title = _tidy(_characters(F.regexp_replace(F.regexp_extract("payload", TITLE, 1), "\n", " ")))
+    title = F.replace(F.regexp_extract("payload", TITLE, 1), F.lit("\n"), F.lit(" "))
     links = F.regexp_extract_all("payload", F.lit(LINK), 1)
     origin = F.regexp_extract("target_uri", "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     scheme = F.regexp_extract("target_uri", "^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
@@ -115,7 +115,8 @@ def derive(responses: DataFrame) -> DataFrame:
         )
 
     found = responses.withColumns({"origin": origin, "scheme": scheme}).withColumn("folder", folder)
-    found = found.withColumns({"title": title, "language": F.regexp_extract("payload", LANGUAGE, 1), "links": F.array_compact(F.transform(links, absolute)), "text": plain_text(F.col("payload"))})
+    found = found.withColumns({"title": title, "language": F.regexp_extract("payload", LANGUAGE, 1), "links": F.array_compact(F.transform(links, absolute))})
+    found = plain_text(_characters(found, "title").withColumn("title", _tidy(F.col("title"))), "payload", "text")
     source = F.transform(F.split("http_headers", "\r\n"), lambda h: F.concat(F.lit("source-header: "), h, F.lit("\r\n")))
     fields = F.concat(
         F.coalesce(F.array_join(source, ""), F.lit("")),
@@ -185,7 +186,7 @@ def oracle() -> str:
 
     def tidy(x: str) -> str:
         x = f"regexp_replace({x}, '[ \t\x0b\f\r\u00a0]+', ' ', 'g')"
-        x = f"regexp_replace({x}, ' ?(?:\n ?)+', chr(10), 'g')"
+        x = f"regexp_replace({x}, ' ?\n[\n ]*', chr(10), 'g')"
         return f"regexp_replace({x}, '^[ \n]+|[ \n]+$', '', 'g')"
 
     uuid = lambda x: f"'<urn:uuid:' || regexp_replace(md5({x}), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5') || '>'"
