@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexquarry.llm import warc
 from lexquarry.llm.common import read
 
 
+def _findings_of(kind: str) -> Column:
+    return F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long")
+
+
 def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from lexquarry.llm.simhash import simhash_groups
 
@@ -28,7 +32,7 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
     found = find_secrets(read(spark, folder, "documents"))
     base = F.filter("findings", lambda f: f["kind"] != "format")
-    counts = [F.size(F.filter("findings", lambda f, k=k: f["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    counts = [_findings_of(k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
     listed = lambda spans: F.array_join(F.transform(spans, lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))), ",")
     return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed("findings").alias("spans"))
 
@@ -73,7 +77,7 @@ def op9_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     from lexquarry.llm.pii import KINDS, pseudonymise
 
     out = pseudonymise(read(spark, folder, "documents").select("doc_id", "text"))
-    counts = [F.size(F.filter("findings", lambda f, k=k: f["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [_findings_of(k).alias(f"n_{k}") for k in KINDS]
     return out.select("doc_id", *counts, "findings", "text")
 
 
