@@ -210,3 +210,90 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     named = groups.join(least, "component").select(F.col("node").alias("fp"), "component_id")
     out = prints.join(named, "fp")
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: Bins of a sketch, and neighbours in either order that a member of a group is compared with.
+BINS, NEIGHBOURS = 256, 32
+
+
+def word_set_print(text: str | None) -> int:
+    """The fingerprint of a text's distinct words: it moves little when few words change."""
+    import xxhash
+
+    words = set((text or "").encode("utf-8", "surrogatepass").lower().split())
+    return majority(b"".join([xxhash.xxh64_digest(w, 42) for w in words]))
+
+
+def sketch(text: str | None, n: int) -> bytes:
+    """One-permutation minima of a text's shingles: 16 bits for each of the bins; 0 for an empty bin."""
+    hashes = np.frombuffer(shingle_digests(text, n), ">u8").astype(np.uint64)
+    least = np.full(BINS, np.iinfo(np.uint64).max, np.uint64)
+    np.minimum.at(least, (hashes >> np.uint64(56)).astype(np.int64), hashes << np.uint64(8))
+    found = least != np.iinfo(np.uint64).max
+    return np.where(found, (least >> np.uint64(48)) | np.uint64(1), 0).astype("<u2").tobytes()
+
+
+def similarities(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Jaccard similarities of the rows of two matrices of sketches."""
+    either = ((a != 0) | (b != 0)).sum(axis=1)
+    return np.where(either > 0, ((a == b) & (a != 0)).sum(axis=1) / np.maximum(either, 1), 1.0)
+
+
+def _similar_neighbours(similarity: float):
+    def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows sorted by group -> links of those that are similar, of each with the ``NEIGHBOURS`` before it in its group."""
+        tail: pd.DataFrame | None = None
+        for batch in batches:
+            rows = batch if tail is None else pd.concat([tail, batch], ignore_index=True)
+            group, node = rows["component"].to_numpy(np.int64), rows["node"].to_numpy(np.int64)
+            sketches = np.frombuffer(b"".join(rows["sketch"]), "<u2").reshape(len(rows), BINS)
+            found = []
+            for lag in range(1, min(NEIGHBOURS, len(rows) - 1) + 1):
+                at = np.flatnonzero(group[lag:] == group[:-lag])
+                for part in np.array_split(at, -(-len(at) // 4096) or 1):
+                    near = part[similarities(sketches[part + lag], sketches[part]) >= similarity]
+                    found.append(np.stack([node[near + lag], node[near]], axis=1))
+            pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
+            yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+            tail = rows.iloc[-NEIGHBOURS:]
+
+    return links
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: float = 0.8, distance: int = 8) -> DataFrame:
+    """The rows of ``docs`` without those that are near copies of another that stays: of each group the smallest id.
+
+    Candidates are the groups of fingerprints of the texts' word sets that differ in ``distance`` bits or fewer
+    (texts that share four fifths of their shingles nearly always do). Within a group, rows are linked if sketches of their
+    shingles of ``n`` words say that they share ``similarity`` of them or more: every two rows in groups of up to
+    ``NEIGHBOURS`` + 1; in larger ones each with so many neighbours in two orders, by fingerprint and by sketch,
+    which connects copies of one text. Texts without words are copies of one another. Rows with the same id and
+    text are one row and stay or go together; a null id comes after all others.
+    """
+    parts = (F.col(f"`{id_col}`").cast("string"), F.col(f"`{text_col}`").cast("string"))
+    key = F.xxhash64(*parts)
+
+    @F.pandas_udf("struct<fp:long,sketch:binary>")
+    def read(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in texts:
+            prints = np.fromiter((word_set_print(t) for t in batch), np.uint64, len(batch))
+            yield pd.DataFrame({"fp": prints.view(np.int64), "sketch": [sketch(t, n) for t in batch]})
+
+    rows = docs.select(key.alias("node"), F.col(f"`{id_col}`").cast("long").alias("id"), read(F.col(f"`{text_col}`").cast("string")).alias("r")).select("node", "id", "r.*")
+    rows = materialize(rows, "sketches")
+    distinct = rows.select("fp").distinct()
+    groups = materialize(linked_prints(materialize(distinct.select("fp", F.col("fp").alias("node")), "word-sets"), distance), "candidates").withColumnRenamed("node", "fp")
+    rows = rows.join(groups, "fp")
+    several = rows.groupBy("component").count().where("count > 1").select("component")
+    rows = materialize(rows.join(several, "component"), "candidate-rows")
+    check = _similar_neighbours(similarity)
+    links = []
+    for order in ("fp", "sketch"):
+        ranged = rows.select("component", order, "node", "sketch") if order == "fp" else rows.select("component", "sketch", "node")
+        ranged = ranged.repartitionByRange("component", F.col(order) if order == "fp" else F.xxhash64("sketch")).sortWithinPartitions("component", order)
+        links.append(ranged.select("component", "node", "sketch").mapInPandas(check, "a long, b long"))
+    same = materialize(connected_components(links[0].unionByName(links[1])), "copies")
+    least = rows.select("node", "id").join(same, "node").groupBy("component").agg(F.min_by("node", F.struct(F.col("id").isNull(), "id", "node")).alias("stays"))
+    gone = materialize(same.join(least, "component").where("node <> stays").select(F.col("node").alias("gone")).distinct(), "near-copies")
+    small = gone.count() <= 1_000_000  # 8 bytes each
+    return docs.join(F.broadcast(gone) if small else gone, key == F.col("gone"), "left_anti")
