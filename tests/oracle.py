@@ -74,7 +74,7 @@ if __name__ == "__main__":
             if name in sql:
                 said = difference(all_queries[name](spark, folder), sql[name], con)
             else:
-                said = f"(no SQL) {all_queries[name](spark, folder).count()} rows"
+                said = f"(no SQL) {len(all_queries[name](spark, folder).collect())} rows"
         except Exception as e:  # one query's failure must not hide the others'
             said = f"{type(e).__name__}: {str(e)[:1500]}"
         ok = not said or said.startswith("(no SQL)")
