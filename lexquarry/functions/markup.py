@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexquarry.functions.text import SPACE, as_column, strip
+from lexquarry.functions.text import SPACE, as_column, let, strip
 
 #: The patterns and prefixes of the markup.
 INTERNAL = r"\[\[([^\[\]|]+?)(?:\|([^\[\]]*))?\]\]"
@@ -35,7 +35,11 @@ LINK = "struct<target:string,display:string,link_type:string,section:string,star
 
 def _found(text: Column, pattern: str, make: Callable[[Column, Column, Column], Column]) -> Column:
     """``make(match, start, end)`` for each match, places being those of the text."""
-    matches = F.regexp_extract_all(text, F.lit(f"({pattern})"), 1)
+    found = F.regexp_extract_all(text, F.lit(f"({pattern})"), 1)
+    return let(found, lambda matches: _placed(text, pattern, matches, make))
+
+
+def _placed(text: Column, pattern: str, matches: Column, make: Callable[[Column, Column, Column], Column]) -> Column:
     # a text is its pieces and its matches in turn, so places are running lengths
     pieces = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches))
     empty = F.array().cast("array<struct<m:string,a:int,b:int>>")
@@ -115,7 +119,7 @@ def categories(text: Column | str) -> Column:
     text = F.coalesce(as_column(text), F.lit(""))
     own = F.transform(links(text, "category"), lambda x: x["target"])
     other = F.transform(F.regexp_extract_all(text, F.lit(CATEGORY_LINK), 1), strip)
-    return F.when(F.size(own) > 0, own).otherwise(other)
+    return let(own, lambda x: F.when(F.size(x) > 0, x).otherwise(other))
 
 
 def quality_flags(text: Column | str) -> dict[str, Column]:

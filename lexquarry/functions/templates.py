@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexquarry.functions.text import as_column
+from lexquarry.functions.text import as_column, blank_to_null, let, strip
 
 TEMPLATES = "array<struct<ord:int,depth:int,start:int,end:int,name:string,params:array<struct<name:string,value:string>>>>"
 _MARK = re.compile(r"\{\{|\}\}|\[\[|\]\]|\||=|<!--.*?(?:-->|\Z)|<nowiki\b[^>]*/>|<nowiki\b[^>]*>.*?(?:</nowiki\s*>|\Z)", re.DOTALL | re.IGNORECASE)
@@ -72,20 +72,15 @@ def templates(text: Column | str) -> Column:
         for batch in texts:
             yield pd.Series([scan(t) for t in batch])
 
-    return scanned(as_column(text))
+    return scanned.asNondeterministic()(as_column(text))  # so that the planner never copies it into what reads it
 
 
 def parameter(template: Column, name: str, any_case: bool = False) -> Column:
     """The last value of a parameter of that name, trimmed; null if missing or blank."""
-    from lexquarry.functions.text import blank_to_null
-
     same = (lambda p: F.lower(p["name"]) == name.lower()) if any_case else (lambda p: p["name"] == name)
-    found = F.filter(template["params"], same)
-    return F.when(F.size(found) > 0, blank_to_null(F.element_at(found, -1)["value"]))
+    return let(F.filter(template["params"], same), lambda found: F.when(F.size(found) > 0, blank_to_null(F.element_at(found, -1)["value"])))
 
 
 def without(text: Column, template: Column) -> Column:
     """A text without one of its templates."""
-    from lexquarry.functions.text import strip
-
     return strip(F.concat(F.substring(text, F.lit(1), template["start"]), F.substring(text, template["end"] + 1, F.length(text))))

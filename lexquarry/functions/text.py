@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column | str) -> Column:
     return F.regexp_replace(as_column(c), f"^[{SPACE}]+|[{SPACE}]+$", "")
 
@@ -32,8 +39,7 @@ def estimate_tokens(c: Column | str, factor: float = 1.3) -> Column:
 
 
 def blank_to_null(c: Column | str) -> Column:
-    c = strip(c)
-    return F.when(c != "", c)
+    return let(strip(c), lambda s: F.when(s != "", s))
 
 
 def year_of(c: Column | str) -> Column:

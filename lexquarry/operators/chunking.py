@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexquarry.functions.text import strip, word_count, words, year_of
+from lexquarry.functions.text import let, strip, word_count, words, year_of
 
 HEADER = re.compile(r"^(={2,6})\s*([^=]+?)\s*\1\s*$")
 ENDINGS = (".", "!", "?", '"', "'")
@@ -302,7 +302,7 @@ def chunks(text: Column, config: ChunkConfig = ChunkConfig(), count: TokenCounte
             made = (chunk_by_tokens(t, config, count) if by == "tokens" else chunk_by_words((t or "").split("\n") if t else [], config) for t in batch)
             yield pd.Series([[dict(zip(names, c, strict=True)) for c in own] for own in made])
 
-    return folded(text)
+    return folded.asNondeterministic()(text)  # so that the planner never copies it into what reads it
 
 
 def keep_chunks(found: Column, min_words: int = 10) -> Column:
@@ -311,8 +311,9 @@ def keep_chunks(found: Column, min_words: int = 10) -> Column:
     Equal to the one kept before is equal to the one before: if that is not kept, it equals the kept one itself.
     """
     own = F.filter(found, lambda c: c["word_count"] >= min_words) if min_words > 0 else found
-    own = F.filter(F.transform(own, lambda c, i: F.struct(c.alias("c"), F.when(i > 0, F.get(own, i - 1)["text"]).alias("before"))), lambda x: ~x["c"]["text"].eqNullSafe(x["before"]))
-    return F.transform(own, lambda x, i: x["c"].withField("chunk_index", i))
+    with_before = lambda own: F.transform(own, lambda c, i: F.struct(c.alias("c"), F.when(i > 0, F.get(own, i - 1)["text"]).alias("before")))
+    kept = F.filter(let(own, with_before), lambda x: ~x["c"]["text"].eqNullSafe(x["before"]))
+    return F.transform(kept, lambda x, i: x["c"].withField("chunk_index", i))
 
 
 def filter_stats(found: Column, kept: Column, min_words: int = 10) -> Column:

@@ -30,10 +30,7 @@ ANY_REF = REF_BODY
 
 def citation_of(template: Column, ref_name: Column) -> Column:
     """A struct for a template whose name is known, else null."""
-    name = F.lower(template["name"])
-    kind = F.lit(None).cast("string")
-    for known, value in TYPES.items():
-        kind = F.when(name == known, value).otherwise(kind)
+    kind = F.try_element_at(F.create_map(*[F.lit(x) for pair in TYPES.items() for x in pair]), F.lower(template["name"]))
     fields = []
     for attribute, names in ATTRIBUTES.items():
         value = F.coalesce(*[parameter(template, n) for n in names])

@@ -94,13 +94,14 @@ def qa_records(pairs: DataFrame, order_col: str = "line_no", rules: tuple[Rule,
         F.struct(F.lit(False).alias("is_stub"), F.lit(0).alias("citation_needed_count"), has_quote(F.coalesce("response", F.lit(""))).alias("has_blockquote"), F.lit(True).alias("human_verified"), source["confidence"].alias("confidence")).alias("quality"),
         F.struct(F.lit(created_date).alias("created_date"), F.lit(created_by).alias("created_by"), F.lit(1).alias("version")).alias("provenance"),
         F.col(order_col).alias("original_line"),
+        source["category"].alias("category"),
     )
 
 
 def split_by_author(records: DataFrame, path: str) -> DataFrame:
     """Write category/author folders of JSON lines; returns the manifest: file, record_count, sha256 of the lines in order."""
-    first = records.groupBy(F.col("source.author").alias("author")).agg(F.min_by(F.element_at("classification.categories", 1), "original_line").alias("category"))
-    rows = records.withColumn("author", F.col("source.author")).join(first, "author")
+    first = records.groupBy(F.col("source.author").alias("author")).agg(F.min_by("category", "original_line").alias("category"))
+    rows = records.drop("category").withColumn("author", F.col("source.author")).join(first, "author")
     rows.drop("original_line").write.option("ignoreNullFields", "false").partitionBy("category", "author").json(path)
     return manifest(rows)
 
@@ -135,8 +136,11 @@ def ordered_sources(sources: DataFrame, synthetic: DataFrame) -> DataFrame:
 
 
 def syntax_errors(lines: DataFrame) -> DataFrame:
-    """(path, line_no, value) of lines that are not a JSON value."""
-    return lines.where(F.expr("try_parse_json(value) is null"))
+    """(path, line_no, value) of lines that are not one JSON value.
+
+    The parser stops at a value's end; put into an array as well as into an object, only a whole value parses.
+    """
+    return lines.where(F.expr("""try_parse_json(concat('[', value, ']')) is null or try_parse_json(concat('{"a":', value, '}')) is null"""))
 
 
 def duplicate_ids(records: DataFrame, id_col: str = "qa_id") -> DataFrame:

@@ -146,7 +146,7 @@ def embed(text: Column, provider: Provider | None = None, config: EmbedConfig =
                     errors += [f"{type(e).__name__}: {e}"] * len(own)
             yield pd.DataFrame({"embedding": vectors, "error": errors})
 
-    return embedded(text)
+    return embedded.asNondeterministic()(text)  # so that the planner never copies it into what reads it
 
 
 def embed_chunks(chunks: DataFrame, provider: Provider | None = None, config: EmbedConfig = EmbedConfig(), text_col: str = "text") -> DataFrame:

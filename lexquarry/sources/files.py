@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lexquarry.functions.markup import namespace_of_name
 
@@ -12,17 +11,17 @@ from lexquarry.functions.markup import namespace_of_name
 NAMESPACES = ("Main", "Library", "Essays", "Project")
 PREFIXES = {"Essay_": "Essays", "Library_": "Library", "Project_": "Project"}
 
-CHUNK_SCHEMA = T.StructType.fromDDL(
+CHUNK_SCHEMA = (
     "chunk_id string, text string, article_title string, namespace string, section string, chunk_index int, line_range string, word_count int, "
     "categories array<string>, internal_links array<string>, is_stub boolean, citation_needed_count int, has_blockquote boolean, "
     "library_work_author string, library_work_type string, library_work_published_year int, infobox_type string, "
     "political_orientation array<string>, primary_category string, category_count int"
 )
-METADATA_SCHEMA = T.StructType.fromDDL(
+METADATA_SCHEMA = (
     "title string, namespace string, categories array<string>, internal_links array<struct<target:string,display:string>>, sections array<string>, "
     "is_stub boolean, citation_needed_count int, has_blockquote boolean, source_file string"
 )
-QA_SCHEMA = T.StructType.fromDDL("qa_id string, instruction string, response string")
+QA_SCHEMA = "qa_id string, instruction string, response string"
 
 
 def title_of(path: Column) -> Column:
@@ -32,8 +31,9 @@ def title_of(path: Column) -> Column:
 
 def articles(spark: SparkSession, root: str, namespaces: tuple[str, ...] = NAMESPACES, flat: bool = False) -> DataFrame:
     """(path, namespace, title, markup): text files under the namespaces' folders or, if ``flat``, all, the namespace by the name's beginning."""
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(root)
-    rows = rows.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("markup"))
+    # as binary files, for the text source leaves out those that are empty
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(root)
+    rows = rows.select("path", F.col("content").cast("string").alias("markup"))
     parts = F.split("path", "/")
     if flat:
         return rows.select("path", namespace_of_name(F.element_at(parts, -1), PREFIXES, namespaces[0]).alias("namespace"), title_of(F.col("path")).alias("title"), "markup")
@@ -91,14 +91,14 @@ def json_lines(spark: SparkSession, path: str) -> DataFrame:
 
     Numbers are the lines' places in the file's order: each file is read as one text, as curated files are small.
     """
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    rows = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), "value")
     lines = rows.select("path", F.posexplode(F.split("value", "\n")).alias("i", "value"))
     return lines.where(F.trim("value") != "").select("path", (F.col("i") + 1).alias("line_no"), "value")
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """(filename, record_count) of a manifest: the entries of its list, in its plain form or as JSON."""
-    lines = spark.read.option("wholetext", True).text(path)
+    lines = spark.read.text(path, wholetext=True)
     entries = F.regexp_extract_all("value", F.lit(r"(?s)(\"?filename\"?\s*:.*?\"?record_count\"?\s*:\s*\d+)"), 1)
     name = F.regexp_extract("e", r"\"?filename\"?\s*:\s*[\"']?([^\"'\n,]+)", 1)
     count = F.regexp_extract("e", r"record_count\"?\s*:\s*(\d+)", 1)

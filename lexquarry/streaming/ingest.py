@@ -32,7 +32,8 @@ def ingest(articles: DataFrame, collection: Collection, checkpoint: str, config:
 
 def windowed_counts(events: DataFrame, time_col: str, key_col: str, value_col: str, window: str = "1 hour", slide: str | None = None, late: str = "10 minutes") -> DataFrame:
     """Counts and sums per window and key; rows later than ``late`` are left out of windows that are closed."""
-    stream = events.withWatermark(time_col, late) if events.isStreaming else events
+    kind = events.schema[time_col].dataType
+    stream = events.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, late) if events.isStreaming else events
     when = F.window(time_col, window, slide) if slide else F.window(time_col, window)
     out = stream.groupBy(when.alias("w"), key_col).agg(F.count("*").alias("n"), F.sum(value_col).alias("total"))
-    return out.select(F.col("w.start").alias("window_start"), key_col, "n", "total")
+    return out.select(F.col("w.start").cast(kind).alias("window_start"), key_col, "n", "total")
