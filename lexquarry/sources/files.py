@@ -29,11 +29,25 @@ def title_of(path: Column) -> Column:
     return F.replace(stem, F.lit("_"), F.lit(" "))
 
 
-def articles(spark: SparkSession, root: str, namespaces: tuple[str, ...] = NAMESPACES, flat: bool = False) -> DataFrame:
+def empty_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
+    """(path, length) of files of no bytes, which all of Spark's sources leave out; found by listing."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+    empty = []
+    while found.hasNext():
+        status = found.next()
+        name = status.getPath().toString()
+        if status.getLen() == 0 and name.endswith(suffix):
+            empty.append((name, 0))
+    return spark.createDataFrame(empty, "path string, length bigint")
+
+
+def articles(spark: SparkSession, root: str, namespaces: tuple[str, ...] = NAMESPACES, flat: bool = False, with_empty: bool = True) -> DataFrame:
     """(path, namespace, title, markup): text files under the namespaces' folders or, if ``flat``, all, the namespace by the name's beginning."""
-    # as binary files, for the text source leaves out those that are empty
-    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(root)
-    rows = rows.select("path", F.col("content").cast("string").alias("markup"))
+    rows = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt")
+    rows = rows.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("markup"))
+    if with_empty:
+        rows = rows.unionByName(empty_files(spark, root, ".txt").select("path", F.lit("").alias("markup")))
     parts = F.split("path", "/")
     if flat:
         return rows.select("path", namespace_of_name(F.element_at(parts, -1), PREFIXES, namespaces[0]).alias("namespace"), title_of(F.col("path")).alias("title"), "markup")
@@ -48,8 +62,9 @@ def texts_any_encoding(spark: SparkSession, root: str) -> DataFrame:
 
 
 def file_listing(spark: SparkSession, root: str, suffix: str) -> DataFrame:
-    """(path, length) of files; their content is not read."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").load(root).select("path", "length")
+    """(path, length) of files, empty ones too; their content is not read."""
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").load(root).select("path", "length")
+    return rows.unionByName(empty_files(spark, root, suffix))
 
 
 def write_articles(df: DataFrame, path: str) -> None:
