@@ -132,6 +132,14 @@ def ordered_sources(sources: DataFrame, synthetic: DataFrame) -> DataFrame:
     return own.orderBy("set", "path", "line_no")
 
 
+def collection_digest(lines: DataFrame) -> DataFrame:
+    """One row: the number of lines (set, path, line_no, value) and a digest of them in order, by file and then over the files' digests."""
+    part = F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", F.sha2("value", 256).alias("d")))), lambda x: x["d"]), "\n"), 256)
+    files = lines.groupBy("set", "path", F.floor(F.col("line_no") / 10_000).alias("block")).agg(F.count("*").alias("n"), part.alias("d"))
+    whole = F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("set", "path", "block", "d"))), lambda x: x["d"]), "\n"), 256)
+    return files.agg(F.sum("n").alias("n_lines"), whole.alias("sha256"))
+
+
 # -- validation
 
 

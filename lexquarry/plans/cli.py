@@ -1,16 +1,16 @@
-"""Command line: python -m lexquarry.plans.cli FOLDER extract|chunk|embed|load|search|diagnose|repair ..."""
+"""Command line: python -m lexquarry.plans.cli FOLDER extract|chunk|embed|load|search|diagnose|repair|reprocess ..."""
 
 from __future__ import annotations
 
 import argparse
 import logging
 import sys
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
 from lexquarry.operators import health
-from lexquarry.operators.chunking import ChunkConfig
-from lexquarry.operators.embedding import EmbedConfig
+from lexquarry.plans.config import chunk_config, embed_config
 from lexquarry.plans.pipeline import Pipeline
 
 OK, FAILED, INTERRUPTED = 0, 1, 130
@@ -26,13 +26,13 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--flat", action="store_true")
     c.add_argument("--sample", type=int)
     c = sub.add_parser("chunk")
-    c.add_argument("--max-tokens", type=int, default=1000)
-    c.add_argument("--overlap-tokens", type=int, default=50)
-    c.add_argument("--min-words", type=int, default=10)
+    c.add_argument("--max-tokens", type=int)
+    c.add_argument("--overlap-tokens", type=int)
+    c.add_argument("--min-words", type=int)
     c.add_argument("--sample", type=int)
     c = sub.add_parser("embed")
-    c.add_argument("--dimensions", type=int, default=768)
-    c.add_argument("--batch-size", type=int, default=32)
+    c.add_argument("--dimensions", type=int)
+    c.add_argument("--batch-size", type=int)
     c.add_argument("--sample", type=int)
     c = sub.add_parser("load")
     c.add_argument("--mode", choices=("insert_ignore", "upsert"), default="insert_ignore")
@@ -45,6 +45,9 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--threshold", type=float, default=0.1)
     c = sub.add_parser("repair")
     c.add_argument("--stage", choices=health.STAGES)
+    c = sub.add_parser("reprocess")
+    c.add_argument("source")
+    c.add_argument("--flat", action="store_true")
     return p
 
 
@@ -52,12 +55,13 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
     a = parser().parse_args(args)
     logging.basicConfig(filename=a.log_file, level=logging.DEBUG if a.log_file else logging.WARNING)
     spark = spark or SparkSession.builder.appName("lexquarry").config("spark.sql.mapKeyDedupPolicy", "LAST_WIN").getOrCreate()
-    config = ChunkConfig(max_tokens=a.max_tokens, overlap_tokens=a.overlap_tokens, min_words=a.min_words) if a.command == "chunk" else ChunkConfig()
-    embedding = EmbedConfig(dimensions=a.dimensions, batch_size=a.batch_size) if a.command == "embed" else EmbedConfig()
+    given = {k: v for k, v in vars(a).items() if k in ("max_tokens", "overlap_tokens", "min_words", "dimensions", "batch_size") and v is not None}
+    config = replace(chunk_config(), **given) if a.command == "chunk" else chunk_config()
+    embedding = replace(embed_config(), **given) if a.command == "embed" else embed_config()
     p = Pipeline(spark, a.folder, config, embedding)
     try:
-        if a.command in ("extract", "chunk", "embed", "load"):
-            run = {"extract": lambda: p.extract(a.source, flat=a.flat, sample=a.sample), "chunk": lambda: p.chunk(a.sample), "embed": lambda: p.embed(a.sample), "load": lambda: p.load(a.mode)}
+        if a.command in ("extract", "chunk", "embed", "load", "reprocess"):
+            run = {"reprocess": lambda: p.reprocess_empty(a.source, flat=a.flat), "extract": lambda: p.extract(a.source, flat=a.flat, sample=a.sample), "chunk": lambda: p.chunk(a.sample), "embed": lambda: p.embed(a.sample), "load": lambda: p.load(a.mode)}
             result = run[a.command]()
             print(f"{result.stage}: {', '.join(f'{v} {k}' for k, v in result.counts.items())} in {result.seconds:.1f} s")
             return OK if result.ok else FAILED

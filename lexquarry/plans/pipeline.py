@@ -62,6 +62,22 @@ class Pipeline:
         raw = self._todo(articles(self.spark, root, namespaces, flat), "articles", ["namespace", "title"], sample)
         return self._write(extract_articles(raw).drop("markup"), "articles", empty=F.count_if(F.col("clean_text") == ""))
 
+    def reprocess_empty(self, root: str, namespaces: tuple[str, ...] = NAMESPACES, flat: bool = False) -> Result:
+        """Extract articles without text again; those whose source is gone are errors. The table is replaced by a new one, written first."""
+        began, keys = time.time(), ["namespace", "title"]
+        old = self.table("articles")
+        empty = old.where("clean_text = ''").select(*keys)
+        found = extract_articles(articles(self.spark, root, namespaces, flat).join(empty, keys, "left_semi")).drop("markup").select(*old.columns)
+        kept = old.join(found.select(*keys), keys, "left_anti").select(*old.columns)
+        kept.unionByName(found).write.mode("overwrite").parquet(self.path("articles-new"))
+        new = self.table("articles-new").join(empty, keys, "left_semi")
+        counts = {"rows": new.where("clean_text <> ''").count(), "errors": empty.join(articles(self.spark, root, namespaces, flat), keys, "left_anti").count()}
+        path_of = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        fs = path_of(self.path("articles")).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs.delete(path_of(self.path("articles")), True)
+        fs.rename(path_of(self.path("articles-new")), path_of(self.path("articles")))
+        return Result("articles", counts, time.time() - began)
+
     def chunk(self, sample: int | None = None) -> Result:
         rows = self._todo(self.table("articles"), "chunked", ["namespace", "title"], sample)
         found = rows.withColumn("_f", chunks(F.col("clean_text"), self.config, self.count)).withColumn("_k", keep_chunks(F.col("_f"), self.config.min_words))

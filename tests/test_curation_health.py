@@ -113,6 +113,16 @@ def test_split_and_manifest(spark, pairs, tmp_path):
     assert [r.filename for r in q.manifest_mismatches(expected, actual).collect()] == [f for f in m if f.startswith("unc")]
 
 
+def test_collection_digest(spark):
+    a = spark.createDataFrame([("s/b", 1, "x"), ("s/b", 2, "y"), ("s/a", 1, "z")], "path string, line_no int, value string")
+    b = spark.createDataFrame([("synthetic_1", 1, "x")], "path string, line_no int, value string")
+    lines = q.ordered_sources(a, b)
+    assert [(r.set, r.path, r.line_no) for r in lines.collect()] == [(0, "s/a", 1), (0, "s/b", 1), (0, "s/b", 2), (1, "synthetic_1", 1)]
+    one = q.collection_digest(lines).first()
+    assert one.n_lines == 4 and one == q.collection_digest(lines.orderBy(F.desc("value"))).first()
+    assert one.sha256 != q.collection_digest(q.ordered_sources(a.where("line_no = 1"), b)).first().sha256
+
+
 def test_chat(pairs):
     r = q.to_chat(pairs.where("line_no = 4")).first()
     assert [x.role for x in r.prompt] == ["system", "user"] and r.prompt[1].content == "zz" and r.answer == ""

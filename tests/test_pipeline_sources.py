@@ -11,7 +11,7 @@ from lexquarry.operators import health
 from lexquarry.operators.chunking import ChunkConfig
 from lexquarry.operators.embedding import EmbedConfig
 from lexquarry.operators.store import Collection
-from lexquarry.plans import cli, queries
+from lexquarry.plans import cli, config, queries
 from lexquarry.plans.pipeline import Pipeline
 from lexquarry.sources import files
 from lexquarry.streaming import ingest
@@ -69,6 +69,39 @@ def test_command_line(spark, corpus, tmp_path, capsys):
     assert cli.main([str(tmp_path / "none"), "chunk"], spark) == 1
 
 
+def test_reprocessing(spark, corpus, tmp_path):
+    p = Pipeline(spark, str(tmp_path / "out"))
+    p.extract(str(corpus))
+    (corpus / "Essays/Empty.txt").write_text("now there is text")
+    (corpus / "Main/Second.txt").write_text("")
+    p.extract(str(corpus))
+    (corpus / "Main/Second.txt").unlink()
+    r = p.reprocess_empty(str(corpus))
+    assert r.counts == {"rows": 1, "errors": 1} and not r.ok
+    got = {x.title: x.clean_text for x in p.table("articles").collect()}
+    assert len(got) == 4 and got["Empty"] == "now there is text" and got["Second"] == ""
+
+
+def test_settings(tmp_path, monkeypatch):
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    assert config.chunk_config(str(tmp_path / "a")) == ChunkConfig()
+    (tmp_path / "pyproject.toml").write_text("[tool.lexquarry.chunking]\nmax_tokens = 7\n[tool.lexquarry.embedding]\ndimensions = 9\n")
+    config.settings.cache_clear()
+    assert config.chunk_config(str(tmp_path / "a" / "b")).max_tokens == 7 and config.embed_config(str(tmp_path)).dimensions == 9
+    (tmp_path / "a" / "pyproject.toml").write_text("[tool.lexquarry.chunking]\nnope = 7\n")
+    config.settings.cache_clear()
+    with pytest.raises(ValueError):
+        config.chunk_config(str(tmp_path / "a"))
+
+
+def test_logging(tmp_path):
+    import logging
+
+    path = config.log_to(str(tmp_path / "logs"), "lexquarry-test")
+    logging.getLogger("lexquarry-test").debug("hello")
+    assert "DEBUG lexquarry-test hello" in path.read_text()
+
+
 def test_sources(spark, tmp_path):
     (tmp_path / "Essay_A_b.txt").write_text("x")
     (tmp_path / "Plain.txt").write_bytes("é".encode("latin-1"))
