@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexquarry.functions.text import let, strip, word_count, words, year_of
+from lexquarry.functions.text import let, word_count, year_of
 
 HEADER = re.compile(r"^(={2,6})\s*([^=]+?)\s*\1\s*$")
 ENDINGS = (".", "!", "?", '"', "'")
@@ -362,6 +362,3 @@ def lines_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     begins = F.aggregate(F.transform(lines, F.length), F.array(F.lit(0)), lambda s, n: F.concat(s, F.array(F.element_at(s, -1) + n + 1)))
     rows = df.select(F.col(id_col), F.posexplode(F.arrays_zip(lines.alias("line"), F.slice(begins, F.lit(1), F.size(lines)).alias("begin"))).alias("i", "x"))
     return rows.select(id_col, (F.col("i") + 1).alias("line_no"), F.col("x.line").alias("line"), word_count("x.line").alias("word_count"), F.col("x.begin").alias("begin"), (F.col("x.begin") + F.length("x.line")).alias("end"))
-
-
-__all__ = ["ChunkConfig", "chunk_by_tokens", "chunk_by_words", "chunk_id", "chunk_records", "chunks", "filter_stats", "keep_chunks", "lines_table", "strip", "words"]

@@ -559,7 +559,7 @@ def health_verdict(spark: SparkSession, folder: str) -> DataFrame:
     SELECT 'embeddings', key, 'delete_empty' FROM embeddings_ WHERE size = 0 UNION ALL SELECT replace(kind, 'orphan_', ''), key, 'delete_orphan' FROM gaps WHERE starts_with(kind, 'orphan') UNION ALL
     SELECT 'chunks', doc_id::VARCHAR, 'delete_corrupt' FROM dup WHERE corrupt UNION ALL
     SELECT 'extracted', key, CASE WHEN key IN (SELECT page_id::VARCHAR FROM pages) THEN 'reprocess_empty' ELSE 'source_missing' END FROM extracted WHERE size = 0
-    """.replace("dup AS (WITH lines", "dup AS (WITH lines")
+    """
 )
 def health_repairs(spark: SparkSession, folder: str) -> DataFrame:
     sources = read(spark, folder, "pages").select(F.col("page_id").cast("string").alias("key"))
@@ -642,13 +642,8 @@ def _pairs(spark: SparkSession, folder: str) -> DataFrame:
     return joined.select((F.col("u.conv_id") * 1000 + F.col("u.turn")).alias("line_no"), F.col("u.text").alias("instruction"), F.col("a.text").alias("response"))
 
 
-def _rules_sql(x: str, value: Callable[[curation.Rule], str]) -> str:
-    # RE2's word boundaries are ASCII, Spark's here are not: words of these rules stand between blanks or ends
-    cases = " ".join(f"WHEN regexp_matches({x}, {q('(?i)' + r.pattern)}) THEN {q(value(r))}" for r in curation.RULES)
-    return f"CASE {cases} ELSE {q(value(curation.UNKNOWN))} END"
-
-
 _BOTH = "concat_ws(' ', instruction, response)"
+# RE2's word boundaries are ASCII, Spark's are not: the rules are compared without them
 _ASCII_RULES = tuple(curation.Rule(r.pattern.replace(r"\b", ""), r.author_key, r.work, r.namespace, r.category) for r in curation.RULES)
 _DETECT = "CASE " + " ".join(f"WHEN regexp_matches({_BOTH}, {q('(?i)' + r.pattern)}) THEN {q(r.author_key)}" for r in _ASCII_RULES) + " ELSE 'uncategorized' END"
 _SPACE_OF = "CASE author WHEN 'spanish_prose' THEN 'Essays' ELSE 'Library' END"

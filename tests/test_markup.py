@@ -159,7 +159,7 @@ def test_citations(spark):
 @pytest.fixture(scope="module")
 def article(spark):
     t = BOX + '\n== Life ==\nBorn<ref>{{Citation|title=T}}</ref>.\n{{Library work|title=W}}\n{{Quote|hm}}\n[[Category:People]]'
-    return with_citations(extract_articles(frame(spark, t, None, "plain")), "id", "m") if False else with_citations(extract_articles(frame(spark, t, None, "plain"), "m"), "id", "m").orderBy("id").collect()
+    return with_citations(extract_articles(frame(spark, t, None, "plain"), "m"), "id", "m").orderBy("id").collect()
 
 
 def test_extraction(article):
