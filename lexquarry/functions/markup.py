@@ -169,3 +169,28 @@ def namespace_of_name(name: Column | str, prefixes: dict[str, str], default: str
     for prefix, namespace in reversed(prefixes.items()):
         out = F.when(as_column(name).startswith(prefix), namespace).otherwise(out)
     return out
+
+
+#: Templates that hold a date as year, month and day.
+DATE_TEMPLATE = rf"(?i)\{{\{{[{SPACE}]*(?:birth|death|start|end)[ _]date(?:[ _]and[ _]age)?[{SPACE}]*\|[{SPACE}]*(\d{{4}})[{SPACE}]*\|[{SPACE}]*(\d{{1,2}})[{SPACE}]*\|[{SPACE}]*(\d{{1,2}})[^{{}}]*\}}\}}"
+STUB_BOX = rf"(?i)\{{\{{[{SPACE}]*Message box/Stub[{SPACE}]*(?:\|[^{{}}]*)?\}}\}}"
+
+
+def template_dates(text: Column | str) -> Column:
+    """Dates of date templates, in the text's order; those that aren't in the calendar are left out."""
+    found = F.regexp_extract_all(F.coalesce(as_column(text), F.lit("")), F.lit(f"({DATE_TEMPLATE})"), 1)
+    part = lambda m, i: F.lpad(F.regexp_extract(m, DATE_TEMPLATE, i), 4 if i == 1 else 2, "0")
+    return F.array_compact(F.transform(found, lambda m: F.try_to_date(F.concat_ws("-", part(m, 1), part(m, 2), part(m, 3)), "yyyy-MM-dd")))
+
+
+def transcluded(text: Column | str) -> Column:
+    """What a page shows where it is included: without noinclude parts, and only the onlyinclude parts if there are any."""
+    text = F.regexp_replace(F.coalesce(as_column(text), F.lit("")), "(?is)<noinclude>.*?</noinclude>", "")
+    only = F.regexp_extract_all(text, F.lit("(?is)<onlyinclude>(.*?)</onlyinclude>"), 1)
+    shown = let(only, lambda x: F.when(F.size(x) > 0, F.array_join(x, "")))
+    return F.regexp_replace(F.coalesce(shown, text), "(?i)</?includeonly>", "")
+
+
+def is_stub_box(text: Column | str) -> Column:
+    """The other marker of a stub, which the flag of :func:`quality_flags` does not know."""
+    return F.coalesce(as_column(text), F.lit("")).rlike(STUB_BOX)

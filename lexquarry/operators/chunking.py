@@ -14,7 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexquarry.functions.text import let, word_count, year_of
+from lexquarry.functions import markup
+from lexquarry.functions.text import let, strip, word_count, year_of
 
 HEADER = re.compile(r"^(={2,6})\s*([^=]+?)\s*\1\s*$")
 ENDINGS = (".", "!", "?", '"', "'")
@@ -362,3 +363,16 @@ def lines_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     begins = F.aggregate(F.transform(lines, F.length), F.array(F.lit(0)), lambda s, n: F.concat(s, F.array(F.element_at(s, -1) + n + 1)))
     rows = df.select(F.col(id_col), F.posexplode(F.arrays_zip(lines.alias("line"), F.slice(begins, F.lit(1), F.size(lines)).alias("begin"))).alias("i", "x"))
     return rows.select(id_col, (F.col("i") + 1).alias("line_no"), F.col("x.line").alias("line"), word_count("x.line").alias("word_count"), F.col("x.begin").alias("begin"), (F.col("x.begin") + F.length("x.line")).alias("end"))
+
+
+def section_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, section_no, level, title, line_start, line_end): sections with their lines, up to the next header of any level."""
+    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
+    numbered = F.transform(lines, lambda x, i: F.struct(x.alias("line"), (i + 1).alias("no")))
+    headers = F.filter(numbered, lambda x: x["line"].rlike(markup.HEADER))
+    ends = let(F.struct(headers.alias("h"), F.size(lines).alias("n")), lambda s: F.transform(s["h"], lambda x, i: F.struct(x["line"].alias("line"), x["no"].alias("first"), F.coalesce(F.get(s["h"], i + 1)["no"] - 1, s["n"]).alias("last"))))
+    rows = df.select(F.col(id_col), F.posexplode(ends).alias("i", "x"))
+    return rows.select(
+        id_col, (F.col("i") + 1).cast("long").alias("section_no"), F.length(F.regexp_extract("x.line", "^(={2,6})", 1)).cast("long").alias("level"),
+        strip(F.regexp_extract("x.line", markup.HEADER, 2)).alias("title"), F.col("x.first").cast("long").alias("line_start"), F.col("x.last").cast("long").alias("line_end"),
+    )

@@ -288,6 +288,36 @@ def section_of_lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines.select("doc_id", F.col("line_no").cast("long").alias("line_no"), section.alias("section"))
 
 
+@query(
+    f"""
+    WITH {W_}, lines AS (SELECT doc_id, unnest(string_split(m, chr(10))) AS line, generate_subscripts(string_split(m, chr(10)), 1) AS no, len(string_split(m, chr(10))) AS n FROM wiki),
+    h AS (SELECT *, row_number() OVER w AS section_no, lead(no) OVER w - 1 AS before_next FROM lines WHERE regexp_matches(line, {q(_HEADER_SQL)}) WINDOW w AS (PARTITION BY doc_id ORDER BY no))
+    SELECT doc_id, section_no, length(regexp_extract(line, '^(={{2,6}})', 1)) AS level, {strip_sql(f'''regexp_replace(line, {q(f'^=+|=+[{SPACE}]*$')}, '', 'g')''')} AS title, no AS line_start, coalesce(before_next, n) AS line_end FROM h
+    """
+)
+def section_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    return chunking.section_table(wiki(spark, folder), "doc_id", "m")
+
+
+@query(
+    """
+    WITH made AS (SELECT doc_id, concat('{{Birth date|', 1800 + doc_id % 200, '|', doc_id % 13, '|', doc_id % 31 + 1, '|df=y}} {{death_date and age|1900|2|', doc_id % 5 + 26, '}}') AS m FROM documents),
+    found AS (SELECT doc_id, unnest([1, 2]) AS i, m FROM made),
+    parts AS (SELECT doc_id, i, CASE WHEN i = 1 THEN concat(1800 + doc_id % 200, '-', lpad((doc_id % 13)::VARCHAR, 2, '0'), '-', lpad((doc_id % 31 + 1)::VARCHAR, 2, '0')) ELSE concat('1900-02-', doc_id % 5 + 26) END AS d FROM found)
+    SELECT doc_id, try_cast(d AS DATE)::VARCHAR AS day FROM parts WHERE try_cast(d AS DATE) IS NOT NULL
+    """
+)
+def template_dates(spark: SparkSession, folder: str) -> DataFrame:
+    made = F.expr("concat('{{Birth date|', 1800 + doc_id % 200, '|', doc_id % 13, '|', doc_id % 31 + 1, '|df=y}} {{death_date and age|1900|2|', doc_id % 5 + 26, '}}')")
+    return documents(spark, folder).select("doc_id", F.explode(markup.template_dates(made)).alias("day")).withColumn("day", F.col("day").cast("string"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN lang || source ELSE 'a' || lang || 'b' END AS shown, doc_id % 2 = 0 AS is_stub FROM documents")
+def transclusion(spark: SparkSession, folder: str) -> DataFrame:
+    made = F.expr("case when doc_id % 2 = 0 then concat('x<onlyinclude>', lang, '</onlyinclude>y<onlyinclude>', source, '</onlyinclude>{{ message box/stub |a}}') else concat('a<noinclude>', source, '\n</noinclude><includeonly>', lang, '</includeonly>b') end")
+    return documents(spark, folder).select("doc_id", markup.transcluded(made).alias("shown"), markup.is_stub_box(made).alias("is_stub"))
+
+
 @query(f"WITH {W_} SELECT doc_id, (len(regexp_extract_all(m, {q(markup.REF)})) + len(regexp_extract_all(m, {q(markup.REF_ALONE)})))::BIGINT AS n_references FROM wiki")
 def reference_counts(spark: SparkSession, folder: str) -> DataFrame:
     return wiki(spark, folder).select("doc_id", markup.reference_count("m").alias("n_references"))
