@@ -12,8 +12,8 @@ the second segment flipped in turn. Longer chains prune the joined pairs before
 Hamming distance is taken.
 
 Groups of near copies are not expanded into pairs: a first pass sorts the fingerprints from each
-start on and links close neighbours (verified, so never wrong), and the exact pass then drops all
-buckets whose rows are in one component already, and joins only rows of different components.
+start on and links close neighbours (verified, so never wrong), and the exact pass then joins only
+rows of different components; rows of large components meet one another only in buckets that two of them share.
 
 Defined results: null and empty texts, and texts without words, have the fingerprint 0 and are linked
 like any other; texts shorter than a shingle are one shingle; rows that repeat an id are separate
@@ -36,8 +36,8 @@ from lexquarry.llm.components import connected_components
 
 #: Shingles whose bits are counted at a time (64 bytes each).
 CHUNK = 1 << 16
-#: Neighbours that each fingerprint is compared with in the first pass.
-LAGS = 8
+#: Neighbours that each fingerprint is compared with in the first pass; rows of a large group.
+LAGS, LARGE = 8, 64
 
 
 def shingle_digests(text: str | None, n: int) -> bytes:
@@ -117,7 +117,7 @@ def _chains(difference: Column, start: Column, segments: list[tuple[int, int]],
 def _close_neighbours(distance: int):
     def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Sorted (fp, node) -> links of neighbours, each partition's as stars of what they connect."""
-        tail_fp, tail_node = np.empty(0, np.int64), np.empty(0, np.int64)
+        tail_fp = tail_node = tail_view = np.empty(0, np.int64)
         parent: dict[int, int] = {}
 
         def find(x: int) -> int:
@@ -133,13 +133,14 @@ def _close_neighbours(distance: int):
         for batch in batches:
             fp = np.concatenate([tail_fp, batch["fp"].to_numpy(np.int64)])
             node = np.concatenate([tail_node, batch["node"].to_numpy(np.int64)])
+            view = np.concatenate([tail_view, batch["view"].to_numpy(np.int64)])
             for lag in range(1, min(LAGS, len(fp) - 1) + 1):
-                near = np.bitwise_count((fp[lag:] ^ fp[:-lag]).view(np.uint64)) <= distance
+                near = (np.bitwise_count((fp[lag:] ^ fp[:-lag]).view(np.uint64)) <= distance) & (view[lag:] == view[:-lag])
                 for a, b in zip(node[lag:][near].tolist(), node[:-lag][near].tolist(), strict=True):
                     a, b = find(a), find(b)
                     if a != b:
                         parent[max(a, b)] = min(a, b)
-            tail_fp, tail_node = fp[-LAGS:], node[-LAGS:]
+            tail_fp, tail_node, tail_view = fp[-LAGS:], node[-LAGS:], view[-LAGS:]
             if len(parent) > 1_000_000:
                 yield flush()
         yield flush()
@@ -148,57 +149,59 @@ def _close_neighbours(distance: int):
 
 
 def linked_prints(prints: DataFrame, distance: int = 4) -> DataFrame:
-    """Distinct fingerprints (fp: long, node: long, distinct) -> (node, component) of those that have a link."""
+    """Distinct fingerprints (fp: long, node: long, distinct; or view: int too) -> (node, component). Views are linked each on their own."""
     segments = ring(distance)
     m = len(segments)
-    turned = prints.select("node", "fp", F.posexplode(F.array(*[_turned(F.col("fp"), s) for s, _ in segments])).alias("start", "turned"))
+    if "view" not in prints.columns:
+        prints = prints.withColumn("view", F.lit(0))
+    turned = prints.select("node", "fp", "view", F.posexplode(F.array(*[_turned(F.col("fp"), s) for s, _ in segments])).alias("start", "turned"))
+    turned = turned.withColumn("start", F.col("start") + F.col("view") * m)
     turned = turned.repartitionByRange("start", "turned").sortWithinPartitions("start", "turned", "node")
-    near = materialize(turned.select("fp", "node").mapInPandas(_close_neighbours(distance), "a long, b long"), "near-links")
+    near = materialize(turned.select("fp", "node", "view").mapInPandas(_close_neighbours(distance), "a long, b long"), "near-links")
     first = materialize(connected_components(near), "near-groups")
-    labelled = prints.join(first, "node", "left").select("node", "fp", F.coalesce("component", "node").alias("label"))
+    labelled = prints.join(first, "node", "left").select("node", "fp", "view", F.coalesce("component", "node").alias("label"))
     labelled = materialize(labelled, "labelled")
 
-    def keys(probe: bool) -> DataFrame:
-        rows = []
+    # labels with many rows make buckets in which nearly all rows have the same one
+    large = materialize(labelled.groupBy("label").count().where(F.col("count") >= LARGE).select("label", F.lit(True).alias("large")), "large-groups")
+    n_large = large.count()
+    flagged = labelled.join(F.broadcast(large) if n_large <= 1_000_000 else large, "label", "left").withColumn("large", F.coalesce("large", F.lit(False)))
+
+    def keys(rows: DataFrame, probe: bool) -> DataFrame:
+        every = []
         for i, (shift, width) in enumerate(segments):
             shift2, width2 = segments[(i + 1) % m]
-            base = F.shiftleft(_segment(F.col("fp"), shift, width), 32).bitwiseOR(_segment(F.col("fp"), shift2, width2)).bitwiseOR(F.lit(i << 56))
-            options = [base]
+            base = F.shiftleft(_segment(F.col("fp"), shift, width), 32).bitwiseOR(_segment(F.col("fp"), shift2, width2)).bitwiseOR(F.shiftleft(F.col("view").cast("long") * m + i, 56))
+            every.append(base)
             if probe:
                 bit = lambda b, s=shift2: F.shiftrightunsigned(F.col("fp"), s + b).bitwiseAND(F.lit(1)) == 0
-                options += [F.when(bit(b), base.bitwiseOR(F.lit(1 << b))) for b in range(width2)]
-            rows += options
-        every = F.array_compact(F.array(*rows)) if probe else F.array(*rows)
-        return labelled.select("node", "fp", "label", F.explode(every).alias("key"))
-
-    # buckets with rows of two components or more
-    both = keys(True).select("key", "label")
-    mixed = both.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    mixed = materialize(mixed, "mixed-buckets")
-    small = mixed.count() <= 1_000_000  # 8 bytes each
-    only = lambda df: df.join(F.broadcast(mixed) if small else mixed, "key")
-    probe = materialize(only(keys(True)), "probes")
-    index = probe.where(F.expr(" or ".join(f"(key >> 56 = {i} and {_base_sql(segments, i)} = key)" for i in range(m))))
-    # of each bucket the component with the most rows; its rows meet only the others'
-    counts = probe.groupBy("key", "label").count().groupBy("key").agg(F.max_by("label", F.struct("count", "label")).alias("most"))
-    counts = materialize(counts, "bucket-majorities")
-    probe, index = probe.join(counts, "key"), index.join(counts, "key")
-    meets = F.expr("p.label <> i.label") & _chains(F.expr("p.fp ^ i.fp"), F.shiftright(F.col("p.key"), 56), segments, distance)
-    pairs = []
-    for left, right in (("p.label <> p.most", "true"), ("p.label = p.most", "i.label <> i.most")):
-        x, y = probe.alias("p").where(left), index.alias("i").where(right)
-        pairs.append(x.join(y, F.expr("p.key = i.key") & meets).select(F.expr("p.label as a"), F.expr("i.label as b")))
-    far = materialize(pairs[0].unionByName(pairs[1]).distinct(), "far-links")
+                every += [F.when(bit(b), base.bitwiseOR(F.lit(1 << b))) for b in range(width2)]
+        every = F.array_compact(F.array(*every)) if probe else F.array(*every)
+        return rows.select("fp", "label", F.explode(every).alias("key"))
+
+    meets = (F.col("p.label") != F.col("i.label")) & _chains(F.expr("p.fp ^ i.fp"), F.shiftright(F.col("p.key"), 56) % m, segments, distance)
+
+    def pairs(probe: DataFrame, index: DataFrame, and_: str = "true") -> DataFrame:
+        joined = probe.alias("p").join(index.alias("i"), (F.col("p.key") == F.col("i.key")) & F.expr(and_) & meets)
+        return joined.select(F.col("p.label").alias("a"), F.col("i.label").alias("b"))
+
+    small, big = flagged.where("not large"), flagged.where("large")
+    found = pairs(keys(small, True), keys(flagged, False))
+    if n_large:
+        found = found.unionByName(pairs(keys(big, True), keys(small, False)))
+        # of large groups only buckets that two share, and there the rows that are not the majority's meet all, its own the others
+        probe, index = keys(big, True), keys(big, False)
+        mixed = probe.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+        probe = materialize(probe.join(mixed, "key"), "large-probes")
+        most = probe.groupBy("key", "label").count().groupBy("key").agg(F.max_by("label", F.struct("count", "label")).alias("most"))
+        most = materialize(most, "bucket-majorities")
+        probe, index = probe.join(most, "key"), index.join(most, "key")
+        found = found.unionByName(pairs(probe.where("label <> most"), index)).unionByName(pairs(probe.where("label = most"), index.where("label <> most")))
+    far = materialize(found.distinct(), "far-links")
     second = connected_components(far).select(F.col("node").alias("label"), F.col("component").alias("root"))
     return labelled.join(second, "label", "left").select("node", F.coalesce("root", "label").alias("component"))
 
 
-def _base_sql(segments: list[tuple[int, int]], i: int) -> str:
-    (s, w), (s2, w2) = segments[i], segments[(i + 1) % len(segments)]
-    seg = lambda shift, width: f"(shiftrightunsigned(fp, {shift}) & {(1 << width) - 1}L)"
-    return f"(({seg(s, w)} << 32) | {seg(s2, w2)} | {i << 56}L)"
-
-
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, distance: int = 4) -> DataFrame:
     """One row per row of ``docs``: id, fingerprint (16 hex digits), component_id (smallest id reachable)."""
     prints = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), fingerprint(F.col(f"`{text_col}`"), n).alias("fp"))
@@ -216,12 +219,12 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 BINS, NEIGHBOURS = 256, 32
 
 
-def word_set_print(text: str | None) -> int:
-    """The fingerprint of a text's distinct words: it moves little when few words change."""
+def word_set_prints(text: str | None, views: int) -> list[int]:
+    """Fingerprints of a text's distinct words, one per seed from 42 on: they move little when few words change."""
     import xxhash
 
     words = set((text or "").encode("utf-8", "surrogatepass").lower().split())
-    return majority(b"".join([xxhash.xxh64_digest(w, 42) for w in words]))
+    return [majority(b"".join([xxhash.xxh64_digest(w, 42 + v) for w in words])) for v in range(views)]
 
 
 def sketch(text: str | None, n: int) -> bytes:
@@ -260,11 +263,12 @@ def _similar_neighbours(similarity: float):
     return links
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: float = 0.8, distance: int = 8) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: float = 0.8, distance: int = 5, views: int = 3) -> DataFrame:
     """The rows of ``docs`` without those that are near copies of another that stays: of each group the smallest id.
 
-    Candidates are the groups of fingerprints of the texts' word sets that differ in ``distance`` bits or fewer
-    (texts that share four fifths of their shingles nearly always do). Within a group, rows are linked if sketches of their
+    Candidates are the groups of fingerprints of the texts' word sets that differ in ``distance`` bits or fewer, in
+    any of ``views`` independent fingerprints (of texts that share four fifths of their shingles 95 of 100 do; more views
+    find more, at a cost in proportion). Within a group, rows are linked if sketches of their
     shingles of ``n`` words say that they share ``similarity`` of them or more: every two rows in groups of up to
     ``NEIGHBOURS`` + 1; in larger ones each with so many neighbours in two orders, by fingerprint and by sketch,
     which connects copies of one text. Texts without words are copies of one another. Rows with the same id and
@@ -273,27 +277,28 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     parts = (F.col(f"`{id_col}`").cast("string"), F.col(f"`{text_col}`").cast("string"))
     key = F.xxhash64(*parts)
 
-    @F.pandas_udf("struct<fp:long,sketch:binary>")
+    @F.pandas_udf("struct<prints:array<long>,sketch:binary>")
     def read(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            prints = np.fromiter((word_set_print(t) for t in batch), np.uint64, len(batch))
-            yield pd.DataFrame({"fp": prints.view(np.int64), "sketch": [sketch(t, n) for t in batch]})
+            prints = [[_signed(x) for x in word_set_prints(t, views)] for t in batch]
+            yield pd.DataFrame({"prints": prints, "sketch": [sketch(t, n) for t in batch]})
 
     rows = docs.select(key.alias("node"), F.col(f"`{id_col}`").cast("long").alias("id"), read(F.col(f"`{text_col}`").cast("string")).alias("r")).select("node", "id", "r.*")
     rows = materialize(rows, "sketches")
-    distinct = rows.select("fp").distinct()
-    groups = materialize(linked_prints(materialize(distinct.select("fp", F.col("fp").alias("node")), "word-sets"), distance), "candidates").withColumnRenamed("node", "fp")
-    rows = rows.join(groups, "fp")
-    several = rows.groupBy("component").count().where("count > 1").select("component")
-    rows = materialize(rows.join(several, "component"), "candidate-rows")
+    seen = rows.select("node", F.posexplode("prints").alias("view", "fp"))
+    distinct = seen.select("view", "fp").distinct().withColumn("node", F.xxhash64("view", "fp"))
+    groups = materialize(linked_prints(materialize(distinct, "word-sets"), distance), "candidates").withColumnRenamed("node", "print")
+    members = seen.withColumn("print", F.xxhash64("view", "fp")).join(groups, "print").select("node", "fp", "component")
+    several = members.groupBy("component").count().where("count > 1").select("component")
+    members = members.join(several, "component").join(rows.select("node", "sketch").dropDuplicates(["node"]), "node")
+    members = materialize(members.select("component", "node", "fp", "sketch"), "candidate-rows")
     check = _similar_neighbours(similarity)
     links = []
-    for order in ("fp", "sketch"):
-        ranged = rows.select("component", order, "node", "sketch") if order == "fp" else rows.select("component", "sketch", "node")
-        ranged = ranged.repartitionByRange("component", F.col(order) if order == "fp" else F.xxhash64("sketch")).sortWithinPartitions("component", order)
+    for order in (F.col("fp"), F.xxhash64("sketch")):
+        ranged = members.withColumn("order", order).repartitionByRange("component", "order").sortWithinPartitions("component", "order", "node")
         links.append(ranged.select("component", "node", "sketch").mapInPandas(check, "a long, b long"))
     same = materialize(connected_components(links[0].unionByName(links[1])), "copies")
     least = rows.select("node", "id").join(same, "node").groupBy("component").agg(F.min_by("node", F.struct(F.col("id").isNull(), "id", "node")).alias("stays"))
-    gone = materialize(same.join(least, "component").where("node <> stays").select(F.col("node").alias("gone")).distinct(), "near-copies")
+    gone = materialize(same.join(least, "component").where("node <> stays").select(F.col("node").alias("_near_copy")).distinct(), "near-copies")
     small = gone.count() <= 1_000_000  # 8 bytes each
-    return docs.join(F.broadcast(gone) if small else gone, key == F.col("gone"), "left_anti")
+    return docs.join(F.broadcast(gone) if small else gone, key == gone["_near_copy"], "left_anti")

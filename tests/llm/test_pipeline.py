@@ -80,3 +80,16 @@ def test_stages_of_no_documents(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     for _, stage in pipeline.STAGES:
         assert stage(spark, docs, "/root/testdata/sf0.001").count() == 0
+
+
+def test_stages_with_clashing_columns_and_nulls(spark):
+    names = ["gone", "score", "matches", "row", "key", "salt", "hash", "label", "node", "component", "id", "size", "target", "rest", "sha", "lead"]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    odd = spark.createDataFrame([(None, None, None, None, None), (900_000, None, "en", None, 0), (900_001, "", None, "src0", 0), (3, "a b", "en", "s", 3), (3, "a b", "en", "s", 3)], docs.schema)
+    docs = docs.unionByName(odd).withColumns({n: F.lit(n) for n in names})
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert 0 < len(rows) <= docs.count() and all(r[n] == n for r in rows for n in names), name
+    assert pipeline.STAGES[-1][1](spark, docs, "/root/testdata/sf0.001").count() == docs.count()

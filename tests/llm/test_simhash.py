@@ -45,7 +45,9 @@ def test_fingerprint_agrees_with_spark_hash(spark):
     assert got.h == got.fp
 
 
-def test_links_against_brute_force(spark):
+@pytest.mark.parametrize("large", [64, 2])
+def test_links_against_brute_force(spark, monkeypatch, large):
+    monkeypatch.setattr(simhash, "LARGE", large)
     rng = np.random.default_rng(5)
     prints = [int(x) for x in rng.integers(0, 1 << 63, 150, dtype=np.uint64)]
     for i in range(450):  # chains and clusters of prints that differ in 1 to 6 bits
@@ -74,6 +76,7 @@ def test_exact_pass_alone_finds_all(spark, monkeypatch):
                 y ^= 1 << int(b)
             prints.add(y)
     prints = sorted(prints)
+    monkeypatch.setattr(simhash, "LARGE", 2)
     monkeypatch.setattr(simhash, "_close_neighbours", lambda distance: lambda batches: (b[["fp", "node"]].set_axis(["a", "b"], axis=1).iloc[:0] for b in batches))
     df = spark.createDataFrame([(simhash._signed(x), i) for i, x in enumerate(prints)], "fp long, node long")
     got = dict(map(tuple, simhash.linked_prints(df, 4).collect()))
