@@ -28,7 +28,7 @@ from pyspark.sql.types import LongType
 from lexquarry.llm.common import materialize
 
 #: Rows of a source that one window sorts, and slots of the schedule that one window ranks, about.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 SLOT_BITS = 16
 
 
@@ -88,7 +88,7 @@ def _schedule(targets: DataFrame, block_words: int, bits: int) -> DataFrame:
     edge = lambda c: F.ceil((c.cast("decimal(38,0)") * n) / total.cast("decimal(20,0)")).cast("long")
     own = targets.where("quota > 0").select("source", "quota", edge(upto - F.col("quota")).alias("lo"), edge(upto).alias("hi"), F.ceil(F.col("quota") / block_words).cast("long").alias("blocks"))
     own = materialize(own, "shares")
-    points = own.where("hi > lo").select("source", "blocks", F.explode(F.sequence(F.floor(F.col("lo") / step), F.floor((F.col("hi") - 1) / step))).alias("part"), "lo", "hi").repartition("part")
+    points = own.where("hi > lo").select("source", "blocks", F.explode(F.sequence(F.floor(F.col("lo") / step), F.floor((F.col("hi") - 1) / step))).alias("part"), "lo", "hi").repartition(int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "part")
     points = points.select("source", "blocks", F.explode(F.sequence(F.greatest("lo", F.col("part") * step), F.least("hi", (F.col("part") + 1) * step) - 1)).alias("point"))
     slot = F.conv(F.reverse(F.lpad(F.bin("point"), bits, "0")), 2, 10).cast("long") if bits else F.lit(0).cast("long")
     slots = points.select("source", "blocks", slot.alias("slot")).withColumn("stretch", F.shiftright("slot", SLOT_BITS))
