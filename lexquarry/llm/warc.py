@@ -30,7 +30,7 @@ TAGS_JAVA = TAGS.replace("')*>", "')*+>")
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 LANGUAGE = r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z0-9-]+)"
 LINK = r"(?i)<a\b[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-#: Named characters that pages use, the ampersand last.
+#: Named characters that pages use, beside the ampersand.
 ENTITIES = {
     "nbsp": "\u00a0", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "copy": "©", "reg": "®", "trade": "™", "middot": "·",
     "bull": "•", "hellip": "…", "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”",
@@ -47,24 +47,25 @@ def _number(m: Column) -> Column:
 
 
 def _characters(df: DataFrame, column: str) -> DataFrame:
-    """Named and numbered characters in place of their names; step by step, so that each step runs once."""
+    """Named and numbered characters in place of their names, in one pass; unknown names stay."""
     text = F.col(column)
-    named = text
-    for name, character in ENTITIES.items():
-        named = F.replace(named, F.lit(f"&{name};"), F.lit(character))
-    df = df.withColumn(column, F.when(F.instr(text, "&") > 0, named).otherwise(text))
-    rest = F.split(text, NUMBER, -1)
-    found = F.regexp_extract_all(text, F.lit(f"({NUMBER})"), 1)
-    joined = F.concat(F.array_join(F.zip_with(F.slice(rest, F.lit(1), F.size(found)), F.transform(found, _number), lambda a, b: F.concat(a, b)), ""), F.element_at(rest, -1))
-    df = df.withColumn(column, F.when(F.instr(text, "&#") > 0, joined).otherwise(text))
-    return df.withColumn(column, F.replace(text, F.lit("&amp;"), F.lit("&")))
+    pattern = f"&(?:[A-Za-z]{{2,6}}|{NUMBER[1:-1]});"
+    known = F.create_map(*[F.lit(x) for n, c in {**ENTITIES, "amp": "&"}.items() for x in (f"&{n};", c)])
+    character = lambda m: F.when(m.startswith("&#"), _number(m)).otherwise(F.coalesce(F.try_element_at(known, m), m))
+    # as an array's element, the pieces and the matches are made once, however often they are read
+    parts = F.array(F.struct(F.split(text, pattern, -1).alias("rest"), F.regexp_extract_all(text, F.lit(f"({pattern})"), 1).alias("found")))
+    joined = F.transform(
+        parts,
+        lambda p: F.concat(F.array_join(F.zip_with(F.slice(p["rest"], F.lit(1), F.size(p["found"])), F.transform(p["found"], character), lambda a, b: F.concat(a, b)), ""), F.element_at(p["rest"], -1)),
+    )
+    return df.withColumn(column, F.when(F.instr(text, "&") > 0, joined[0]).otherwise(text))
 
 
 def _tidy(text: Column) -> Column:
     """Single spaces, no empty lines, no white space at either end."""
     text = F.regexp_replace(text, "[ \t\x0b\f\r\u00a0]{2,}|[\t\x0b\f\r\u00a0]", " ")
     text = F.regexp_replace(text, " ?\n[\n ]*", "\n")
-    return F.regexp_replace(text, r"^[ \n]+|[ \n]+$", "")
+    return F.btrim(text, F.lit(" \n"))
 
 
 def plain_text(df: DataFrame, html_col: str, out_col: str) -> DataFrame:
