@@ -215,16 +215,10 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Bins of a sketch, and neighbours in either order that a member of a group is compared with.
-BINS, NEIGHBOURS = 256, 32
-
-
-def word_set_prints(text: str | None, views: int) -> list[int]:
-    """Fingerprints of a text's distinct words, one per seed from 42 on: they move little when few words change."""
-    import xxhash
-
-    words = set((text or "").encode("utf-8", "surrogatepass").lower().split())
-    return [majority(b"".join([xxhash.xxh64_digest(w, 42 + v) for w in words])) for v in range(views)]
+#: Bins of a sketch; rows of a bucket beyond which its rows first meet its most central one; shingles that are known to be frequent, and how much of the rows tells them.
+BINS, CROWDED, FREQUENT, SAMPLE_ROWS, SAMPLE_SHARE = 256, 16, 1_000_000, 20_000, 1 / 16
+#: Keeps rounding from turning a whole number into the next; a test that errs by it lets a pair through to the exact one.
+_EPS = 1e-9
 
 
 def sketch(text: str | None, n: int) -> bytes:
@@ -242,63 +236,125 @@ def similarities(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(either > 0, ((a == b) & (a != 0)).sum(axis=1) / np.maximum(either, 1), 1.0)
 
 
-def _similar_neighbours(similarity: float):
-    def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows sorted by group -> links of those that are similar, of each with the ``NEIGHBOURS`` before it in its group."""
-        tail: pd.DataFrame | None = None
-        for batch in batches:
-            rows = batch if tail is None else pd.concat([tail, batch], ignore_index=True)
-            group, node = rows["component"].to_numpy(np.int64), rows["node"].to_numpy(np.int64)
-            sketches = np.frombuffer(b"".join(rows["sketch"]), "<u2").reshape(len(rows), BINS)
-            found = []
-            for lag in range(1, min(NEIGHBOURS, len(rows) - 1) + 1):
-                at = np.flatnonzero(group[lag:] == group[:-lag])
-                for part in np.array_split(at, -(-len(at) // 4096) or 1):
-                    near = part[similarities(sketches[part + lag], sketches[part]) >= similarity]
-                    found.append(np.stack([node[near + lag], node[near]], axis=1))
-            pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
-            yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
-            tail = rows.iloc[-NEIGHBOURS:]
+def shingle_set(text: str | None, n: int) -> np.ndarray:
+    """The distinct hashes of a text's shingles, sorted."""
+    return np.unique(np.frombuffer(shingle_digests(text, n), ">u8").astype(np.int64))
+
+
+def prefix(own: np.ndarray, similarity: float, hot: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first of a set's shingles in the order of (frequency, hash), so many that two sets with ``similarity`` share one of them."""
+    k = len(own) - int(np.ceil(similarity * len(own) - _EPS)) + 1 if len(own) else 0
+    if len(hot):
+        at = np.minimum(np.searchsorted(hot, own), len(hot) - 1)
+        own = own[np.argsort(np.where(hot[at] == own, counts[at], 0), kind="stable")]
+    return own[:k]
 
-    return links
 
+def _frequent(texts: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles of a sample of the rows, sorted, and their counts; what they are only bears on the cost."""
+    rows = texts.count()
+    share = max(SAMPLE_SHARE, min(1.0, SAMPLE_ROWS / max(rows, 1)))
+
+    @F.pandas_udf("array<long>")
+    def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([shingle_set(t, n) for t in batch])
+
+    sample = texts.where(F.pmod(F.xxhash64("node", F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20)))
+    counts = sample.select(F.explode(shingles("text")).alias("key")).groupBy("key").count().where("count >= 3")
+    found = counts.orderBy(F.col("count").desc(), "key").limit(FREQUENT).toPandas()
+    order = np.argsort(found["key"].to_numpy(np.int64))
+    return found["key"].to_numpy(np.int64)[order], found["count"].to_numpy(np.int64)[order]
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: float = 0.8, distance: int = 5, views: int = 3) -> DataFrame:
-    """The rows of ``docs`` without those that are near copies of another that stays: of each group the smallest id.
 
-    Candidates are the groups of fingerprints of the texts' word sets that differ in ``distance`` bits or fewer, in
-    any of ``views`` independent fingerprints (of texts that share four fifths of their shingles 95 of 100 do; more views
-    find more, at a cost in proportion). Within a group, rows are linked if sketches of their
-    shingles of ``n`` words say that they share ``similarity`` of them or more: every two rows in groups of up to
-    ``NEIGHBOURS`` + 1; in larger ones each with so many neighbours in two orders, by fingerprint and by sketch,
-    which connects copies of one text. Texts without words are copies of one another. Rows with the same id and
+def _similar(similarity: float):
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Pairs (a, b, x, y: sets) -> those whose sets share ``similarity`` of their shingles."""
+        for batch in batches:
+            near = np.zeros(len(batch), bool)
+            for i, (x, y) in enumerate(zip(batch["x"], batch["y"], strict=True)):
+                x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                near[i] = both >= similarity * (len(x) + len(y) - both) - _EPS
+            yield batch.loc[near, ["a", "b"]]
+
+    return check
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` without those that are near copies of others: of each group the smallest id stays.
+
+    Rows are linked if they share ``similarity`` or more of the distinct shingles of ``n`` words of both (exactly, up
+    to collisions of 64-bit hashes), and components of links are the groups. All links are found (prefix filtering; Bayardo, Ma and Srikant, WWW 2007): with
+    the shingles of every text in one order, two texts with that similarity share one of the first (1 - similarity) of
+    theirs. The order puts frequent shingles last, which keeps buckets of equal shingles small. Pairs of a bucket are
+    verified by their whole sets, unless their sizes, or how many of their first shingles they share, rule them out.
+    Rows of crowded buckets first meet their bucket's most central row and the row after them; then only pairs that these links
+    leave in different components are compared. Texts without words are copies of one another. Rows with the same id and
     text are one row and stay or go together; a null id comes after all others.
     """
+    spark = docs.sparkSession
     parts = (F.col(f"`{id_col}`").cast("string"), F.col(f"`{text_col}`").cast("string"))
     key = F.xxhash64(*parts)
+    texts = docs.select(key.alias("node"), F.col(f"`{id_col}`").cast("long").alias("id"), parts[1].alias("text"))
+    frequent = spark.sparkContext.broadcast(_frequent(texts, n))
 
-    @F.pandas_udf("struct<prints:array<long>,sketch:binary>")
-    def read(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in texts:
-            prints = [[_signed(x) for x in word_set_prints(t, views)] for t in batch]
-            yield pd.DataFrame({"prints": prints, "sketch": [sketch(t, n) for t in batch]})
-
-    rows = docs.select(key.alias("node"), F.col(f"`{id_col}`").cast("long").alias("id"), read(F.col(f"`{text_col}`").cast("string")).alias("r")).select("node", "id", "r.*")
-    rows = materialize(rows, "sketches")
-    seen = rows.select("node", F.posexplode("prints").alias("view", "fp"))
-    distinct = seen.select("view", "fp").distinct().withColumn("node", F.xxhash64("view", "fp"))
-    groups = materialize(linked_prints(materialize(distinct, "word-sets"), distance), "candidates").withColumnRenamed("node", "print")
-    members = seen.withColumn("print", F.xxhash64("view", "fp")).join(groups, "print").select("node", "fp", "component")
-    several = members.groupBy("component").count().where("count > 1").select("component")
-    members = members.join(several, "component").join(rows.select("node", "sketch").dropDuplicates(["node"]), "node")
-    members = materialize(members.select("component", "node", "fp", "sketch"), "candidate-rows")
-    check = _similar_neighbours(similarity)
-    links = []
-    for order in (F.col("fp"), F.xxhash64("sketch")):
-        ranged = members.withColumn("order", order).repartitionByRange("component", "order").sortWithinPartitions("component", "order", "node")
-        links.append(ranged.select("component", "node", "sketch").mapInPandas(check, "a long, b long"))
-    same = materialize(connected_components(links[0].unionByName(links[1])), "copies")
-    least = rows.select("node", "id").join(same, "node").groupBy("component").agg(F.min_by("node", F.struct(F.col("id").isNull(), "id", "node")).alias("stays"))
-    gone = materialize(same.join(least, "component").where("node <> stays").select(F.col("node").alias("_near_copy")).distinct(), "near-copies")
+    @F.pandas_udf("struct<print:long,size:long,prefix:array<long>>")
+    def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        import xxhash
+
+        for batch in batches:
+            sets = [shingle_set(t, n) for t in batch]
+            prints = [_signed(xxhash.xxh64_intdigest(s.tobytes(), 42)) for s in sets]
+            yield pd.DataFrame({"print": prints, "size": [len(s) for s in sets], "prefix": [prefix(s, similarity, *frequent.value) for s in sets]})
+
+    @F.pandas_udf("binary")
+    def whole(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([shingle_set(t, n).tobytes() for t in batch])
+
+    rows = materialize(texts.select("node", "id", read("text").alias("r")).select("node", "id", "r.*"), "prefixes")
+    # equal sets are one print; buckets of one print have no pairs
+    once = rows.groupBy("print").agg(F.min("node").alias("node"))
+    keys = rows.join(once, ["print", "node"], "left_semi").dropDuplicates(["print"]).select("print", "size", F.size("prefix").alias("first"), F.explode("prefix").alias("key"))
+    keys = materialize(keys, "keys")
+    shared = materialize(keys.join(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key"), "shared-keys")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = materialize(pairs, "pairs")
+        needed = pairs.select(F.col("a").alias("print")).unionByName(pairs.select(F.col("b").alias("print"))).distinct().join(once, "print")
+        sets = texts.join(needed, "node").dropDuplicates(["print"]).select("print", whole("text").alias("set"))
+        sets = materialize(sets, "sets")
+        both = pairs.join(sets.select(F.col("print").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("print").alias("b"), F.col("set").alias("y")), "b")
+        return materialize(both.select("a", "b", "x", "y").mapInPandas(_similar(similarity), "a long, b long"), "links")
+
+    sizes_fit = lambda x, y: F.least(x, y) >= F.lit(similarity) * F.greatest(x, y) - _EPS
+    # crowded buckets: a row with many shared keys has few shingles of its own, so it is near the middle of its copies
+    crowded = shared.where(F.col("n") > CROWDED)
+    near = None
+    if crowded.head(1):
+        degree = shared.groupBy("print").agg(F.count("*").alias("degree"))
+        crowded = crowded.join(degree, "print").withColumn("class", F.floor(F.log("size") / np.log(1 / similarity)))
+        middle = crowded.groupBy("key", "class").agg(F.max_by(F.struct("print", "size"), F.struct("degree", "print")).alias("m"))
+        stars = crowded.join(middle, ["key", "class"]).where(F.col("print") != F.col("m.print")).where(sizes_fit(F.col("size"), F.col("m.size")))
+        near = connected_components(verified(stars.select(F.least("print", "m.print").alias("a"), F.greatest("print", "m.print").alias("b")).distinct()))
+        near = materialize(near, "near-groups").withColumnRenamed("node", "print").withColumnRenamed("component", "label")
+        shared = materialize(shared.join(near, "print", "left").withColumn("label", F.coalesce("label", "print")), "labelled-keys")
+    else:
+        shared = shared.withColumn("label", F.col("print"))
+    mixed = shared.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+    shared = materialize(shared.join(mixed, "key"), "mixed-keys") if near is not None else shared
+    p, i = shared.alias("p"), shared.alias("i")
+    meets = (F.col("p.key") == F.col("i.key")) & (F.col("p.print") < F.col("i.print")) & (F.col("p.label") != F.col("i.label")) & sizes_fit(F.col("p.size"), F.col("i.size"))
+    pairs = p.join(i, meets).groupBy(F.col("p.print").alias("a"), F.col("i.print").alias("b"))
+    # what two sets share lies among both their first shingles or among the rest of one
+    pairs = pairs.agg(F.count("*").alias("c"), F.first(F.col("p.size") + F.col("i.size")).alias("sum"), F.first(F.greatest(F.col("p.size") - F.col("p.first"), F.col("i.size") - F.col("i.first"))).alias("rest"))
+    links = verified(pairs.where(F.col("c") + F.col("rest") >= F.lit(similarity / (1 + similarity)) * F.col("sum") - _EPS).select("a", "b"))
+    if near is not None:
+        links = links.unionByName(near.select(F.col("print").alias("a"), F.col("label").alias("b")))
+    same = materialize(connected_components(links), "copies").withColumnRenamed("node", "print")
+    rows = rows.select("node", "id", "print").join(same, "print", "left").withColumn("component", F.coalesce("component", "print"))
+    least = rows.groupBy("component").agg(F.min_by("node", F.struct(F.col("id").isNull(), "id", "node")).alias("stays"), F.count("*").alias("n")).where("n > 1")
+    gone = materialize(rows.join(least, "component").where("node <> stays").select(F.col("node").alias("_near_copy")).distinct(), "near-copies")
     small = gone.count() <= 1_000_000  # 8 bytes each
     return docs.join(F.broadcast(gone) if small else gone, key == gone["_near_copy"], "left_anti")

@@ -93,3 +93,42 @@ def test_stages_with_clashing_columns_and_nulls(spark):
         rows = out.collect()
         assert 0 < len(rows) <= docs.count() and all(r[n] == n for r in rows for n in names), name
     assert pipeline.STAGES[-1][1](spark, docs, "/root/testdata/sf0.001").count() == docs.count()
+
+
+def jaccard(x, y):
+    x, y = shingles(x), shingles(y)
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def kept_by_brute_force(rows):
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if jaccard(rows[i][1], rows[j][1]) >= 0.8 - 1e-9:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return [rows[i][0] for i in range(len(rows)) if find(i) == i]
+
+
+def changed(words, rng, n):
+    own = list(words)
+    for at in rng.sample(range(len(own)), n):
+        own[at] = f"n{rng.random()}"
+    return " ".join(own)
+
+
+def test_large_groups_go_whole(spark):
+    """Variants that are near copies of the base but not of one another."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    rows = [(0, " ".join(base))] + [(i, changed(base, rng, 6)) for i in range(1, 301)]
+    rng.shuffle(rows)
+    copies = {i for i, t in rows if jaccard(t, " ".join(base)) >= 0.8}
+    got = {r.doc_id for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(copies) > 200 and got & copies == {0} and got == set(kept_by_brute_force(sorted(rows)))
