@@ -132,3 +132,14 @@ def test_large_groups_go_whole(spark):
     copies = {i for i, t in rows if jaccard(t, " ".join(base)) >= 0.8}
     got = {r.doc_id for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert len(copies) > 200 and got & copies == {0} and got == set(kept_by_brute_force(sorted(rows)))
+
+
+def test_added_and_cut_blocks_are_found(spark):
+    rng = random.Random(9)
+    rows = []
+    for _ in range(40):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(50, 600))]
+        cut = int(len(words) * rng.uniform(0.82, 0.97))
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words[:cut])), (len(rows) + 2, " ".join(words + [f"x{rng.random()}" for _ in range(len(words) - cut)]))]
+    got = sorted(r.doc_id for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == kept_by_brute_force(rows)
