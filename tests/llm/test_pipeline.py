@@ -143,3 +143,15 @@ def test_added_and_cut_blocks_are_found(spark):
         rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words[:cut])), (len(rows) + 2, " ".join(words + [f"x{rng.random()}" for _ in range(len(words) - cut)]))]
     got = sorted(r.doc_id for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == kept_by_brute_force(rows)
+
+
+def test_near_copies_are_decided_exactly(spark):
+    """Pairs on both sides of 0.8: none over it stays, none under it goes."""
+    rng = random.Random(10)
+    rows = []
+    for _ in range(60):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        cut = 320 + rng.choice([-6, -3, -1, 0, 1, 3, 6])
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words[:cut]))]
+    got = sorted(r.doc_id for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == kept_by_brute_force(rows) and 60 < len(got) < 120
