@@ -2,7 +2,7 @@
 
 A document is contaminated by a benchmark item if some part of it is within ``1 - similarity`` edits
 per character of the item (both in lower case, white space collapsed). Windows of the items' sizes begin at
-every word of a document:
+every word of a document and, in runs of over ``RUN`` bytes without a blank, at every ``STRIDE`` bytes (a character of most scripts that have no blanks):
 
 * The CGK embedding (Chakraborty, Goldenberg and Koucky, STOC 2016) walks through a window with random
   steps that depend on the character read; strings with few edits between them are read in step again after each, so that the
@@ -13,12 +13,13 @@ every word of a document:
   (bit-parallel, Myers 1999), with no bound on their number.
 * Windows that hold fewer than ``share`` of their ``GRAM``-grams among the items' are not walked through. Up to
   an edit distance of (1 - share) / GRAM (8 %) an item always passes; beyond, as edits fall together in words, nearly always.
+* Items shorter than a gram are found if they occur as they are.
 
 The only data that is broadcast is a block of the benchmark, of ``block_chars`` characters at most (and one
 item); a larger benchmark is taken block by block, each against all documents. Documents are read once a
 block; nothing is shuffled, so a hot source or passage is spread as its rows are.
 
-Defined results: null and empty texts hold nothing; items that are null or have fewer than ``least_words`` words are
+Defined results: null and empty texts hold nothing; items that are null, or have fewer than ``least_words`` words and fewer than GRAM bytes, are
 left out, as they prove nothing; equal items are separate items; rows that repeat an id are separate rows;
 extra columns are not read; an empty table on either side gives no matches.
 """
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 from lexquarry.llm.common import materialize
 
 GRAM = 12
+RUN, STRIDE = 24, 3
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -52,6 +54,14 @@ def grams_of(raw: bytes) -> np.ndarray:
     return eight[:n] * _ODD ^ eight[GRAM - 8 :] * np.uint64(0xBF58476D1CE4E5B9)
 
 
+def window_starts(raw: bytes) -> np.ndarray:
+    """Where windows begin: at words, and at a stride within long runs without a blank."""
+    words = np.r_[0, np.flatnonzero(np.frombuffer(raw, np.uint8) == 32) + 1]
+    ends = np.r_[words[1:] - 1, len(raw)]
+    long = np.flatnonzero(ends - words > RUN)
+    return np.unique(np.concatenate([words, *(np.arange(words[i], ends[i], STRIDE) for i in long.tolist())])) if len(long) else words
+
+
 def distance_of_best_part(pattern: bytes, text: bytes, most: int) -> tuple[int, int]:
     """The least edit distance of ``pattern`` to a part of ``text``, and the first place where such a part ends; (most + 1, 0) beyond."""
     n = len(pattern)
@@ -99,6 +109,7 @@ class Benchmark:
         self.longest = max(map(len, self.texts), default=1)
         self.steps = rng.integers(0, 2, (2 * self.longest + 2, 256), dtype=np.uint8).astype(np.int64)
         own = [np.unique(grams_of(t)) for t in self.texts]
+        self.tiny = [i for i, t in enumerate(self.texts) if 0 < len(t) < GRAM]
         self.enough = np.array([max(1, int(self.share * len(x))) for x in own])
         # sorted grams, the items that have each, and a table that tells most other grams from them
         every, item = np.concatenate(own), np.repeat(np.arange(len(own)), list(map(len, own)))
@@ -142,7 +153,7 @@ class Benchmark:
         return out
 
     def dense(self, raw: bytes) -> list[tuple[int, np.ndarray]]:
-        """(item, starts of the windows of its size, at words, that hold enough of its grams)."""
+        """(item, starts of the windows of its size that hold enough of its grams)."""
         grams = grams_of(raw)
         maybe = np.flatnonzero(self.table[(grams * _ODD) >> self.shift])
         if not len(maybe) or not len(self.grams):
@@ -158,7 +169,7 @@ class Benchmark:
         for i in np.flatnonzero(np.bincount(items, minlength=len(self.texts)) >= self.enough).tolist():
             own, size = at[items == i], len(self.texts[i])
             if words is None:
-                words = np.r_[0, np.flatnonzero(np.frombuffer(raw, np.uint8) == 32) + 1]
+                words = window_starts(raw)
             near = words[np.searchsorted(words, own[0] - size) : np.searchsorted(words, own[-1], "right")]
             inside = np.searchsorted(own, near + size - GRAM + 1) - np.searchsorted(own, near)
             near = near[inside >= self.enough[i]]
@@ -171,7 +182,7 @@ class Benchmark:
         by_class = defaultdict(list)
         for item, starts in self.dense(raw):
             by_class[self.class_of[item]].append((item, starts))
-        out = []
+        out = [(i, 0, at, at + len(self.texts[i])) for i in self.tiny if (at := raw.find(self.texts[i])) >= 0]
         text = np.frombuffer(self.padded(raw), np.uint8) if by_class else None
         for c, pairs in by_class.items():
             every = np.unique(np.concatenate([starts for _, starts in pairs]))
@@ -246,7 +257,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     spark = docs.sparkSession
     # the benchmark in blocks: an item goes to the block in which its first character would fall
     items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item"), F.col(f"`{item_text_col}`").cast("string").alias("t")).where("t is not null")
-    items = items.where(F.size(F.split(F.trim(F.regexp_replace("t", r"[\x20\x09-\x0D]+", " ")), " ")) >= least_words)
+    items = items.where((F.size(F.split(F.trim(F.regexp_replace("t", r"[\x20\x09-\x0D]+", " ")), " ")) >= least_words) | (F.octet_length(F.trim(F.regexp_replace("t", r"[\x20\x09-\x0D]+", " "))) >= GRAM))
     total = items.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_chars))
     items = items.withColumn("block", F.pmod(F.xxhash64("item", "t"), F.lit(blocks)))

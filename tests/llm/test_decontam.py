@@ -80,3 +80,14 @@ def test_documents(spark):
         assert sorted((i, sorted(m)) for i, m in got) == sorted(want)
     assert decontam.find_contamination(df.limit(0), bench).count() == 0
     assert all(r.matches == [] for r in decontam.find_contamination(df, bench.limit(0)).collect())
+
+
+def test_items_without_blanks_and_short_ones(spark):
+    rng = random.Random(6)
+    signs = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(n))
+    item, token = signs(60), "".join(rng.choice("abcdefghij") for _ in range(120))
+    bench = spark.createDataFrame([(1, item), (2, token), (3, "who built troy?"), (4, "a b c d e")], "item_id long, text string")
+    changed = item[:20] + signs(1) + item[21:40] + signs(1) + item[41:]
+    rows = [(1, signs(301) + item + signs(50)), (2, signs(300) + changed + signs(50)), (3, "z" * 401 + token + "z" * 40), (4, "they asked: who built troy? and"), (5, "x a b c d e y"), (6, signs(500))]
+    got = {r.doc_id: [m.item for m in r.matches] for r in decontam.find_contamination(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert got == {1: [1], 2: [1], 3: [2], 4: [3], 5: [4], 6: []}
