@@ -115,7 +115,7 @@ def test_sources(spark, tmp_path):
 def test_chunk_files(spark, tmp_path):
     df = spark.createDataFrame([("a", "é\n", None)], "chunk_id string, text string, section string")
     files.write_chunks(df, str(tmp_path / "c"))
-    line = next(Path(tmp_path / "c").glob("*.json")).read_text()
+    line = "".join(p.read_text() for p in Path(tmp_path / "c").glob("*.json"))  # some part files are empty
     assert json.loads(line) == {"chunk_id": "a", "text": "é\n", "section": None} and "é" in line
     back = files.read_chunks(spark, str(tmp_path / "c"))
     assert len(back.columns) == 20 and back.first().text == "é\n"
