@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -13,13 +14,24 @@ from pyspark.sql import functions as F
 WORD_GAP = r"\x20\x09-\x0D"
 
 
+_OWN: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none (tests)."""
+    """The folder that driver and executors share, which the session names in ``spark.checkpoint.dir``.
+
+    Where it names none, a local session (tests) gets a temporary folder; on a cluster that would be
+    a folder of one machine, so there it is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="lexquarry-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if not _OWN:
+        _OWN.append("file://" + tempfile.mkdtemp(prefix="lexquarry-"))
+        atexit.register(shutil.rmtree, _OWN[0].removeprefix("file://"), ignore_errors=True)
+    return _OWN[0]
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -35,13 +47,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     It cuts the lineage: a lost executor costs the tasks that it ran, not the stages before. The
-    folder goes when the driver's process ends.
+    folder goes with ``discard``, else when the driver's process ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._lexquarry_path = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote and that no result still to be computed reads."""
+    for table in tables:
+        _remove(table.sparkSession, table._lexquarry_path)
 
 
 def text_of(column: str) -> Column:
