@@ -69,5 +69,11 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, or with the first number behind it that makes it unlike the names taken (which Spark compares without case)."""
+    low = {t.lower() for t in taken}
+    return next(n for n in (name, *(f"{name}_{i}" for i in range(1, len(low) + 2))) if n.lower() not in low)
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")

@@ -7,17 +7,19 @@ one half, hashed with the key, the format and the round, is added to the other h
 position, each modulo its own size. As that is a permutation, equal values get equal pseudonyms in all
 documents and different values different ones, and no table of values is kept.
 
-Only DataFrame functions are used, and rows are never shuffled: a text is split at its findings,
-and the pieces are joined with the pseudonyms.
+Only DataFrame functions are used, and rows are never shuffled: one pass of the shapes puts marks
+around a text's findings, each in the place of its kind, the text is split at the marks, and the pieces are joined
+with the pseudonyms. All shapes are bounded, so that the work is in proportion to a text's length, whatever it holds.
 
 Kinds, in the order in which they are tried at a position:
 
 =====  =======================================================  =====================================
 kind   valid                                                    permuted
 =====  =======================================================  =====================================
-email  one @, a dotted domain                                   letters and digits before the last dot
+email  up to 64 characters, @, a domain of up to 33 labels      letters and digits before the last dot
 iban   letters, digits, remainder 1 modulo 97                   the account's part; check digits anew
-date   y-m-d, y/m/d, d.m.y, d/m/y or m/d/y; 1900 to 2099        the day, among all days of that format
+date   y-m-d, y/m/d, d.m.y, d/m/y or m/d/y; 1900 to 2099;       the day, among all days of that format
+       days and months of two digits; a time may follow T
 phone  +country and 8 to 14 digits, or (3) 3-4, or 3-3-4        digits after the country code
 ssn    3-2-4, with the area, group and serial in use            all digits; again until they are in use
 ip     four octets of 0 to 255 without leading zeros            the octets
@@ -25,7 +27,8 @@ card   13 to 19 digits, spaces or hyphens between, check digit  digits but the l
 =====  =======================================================  =====================================
 
 Defined results: a null text stays null and has no findings; all other texts keep every character
-outside findings; rows are kept as they are, repeated ones too; an empty table gives an empty table.
+outside findings; rows are kept as they are, repeated ones too; other columns are carried along, and where one has the name
+of the findings' column, the new one gets a number behind its name; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexquarry.llm.common import free_name
+
 #: Rounds of the network; an even number, so that the halves end in their places.
 ROUNDS = 8
 KINDS = ("email", "iban", "date", "phone", "ssn", "ip", "card")
@@ -40,15 +45,19 @@ KINDS = ("email", "iban", "date", "phone", "ssn", "ip", "card")
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: Shapes, as regular expressions; what stands before and after a finding is checked too.
 SHAPES = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}(?![A-Za-z0-9-])",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}+\.){1,32}[A-Za-z]{2,63}+(?![A-Za-z0-9-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d\d(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
-    "date": r"(?<![0-9A-Za-z./-])(?:(?:19|20)\d\d-\d\d-\d\d|(?:19|20)\d\d/\d\d/\d\d|\d\d\.\d\d\.(?:19|20)\d\d|\d\d/\d\d/(?:19|20)\d\d)(?![0-9A-Za-z])(?![./-]\d)",
+    "date": r"(?<![0-9A-Za-z./-])(?:(?:19|20)\d\d-\d\d-\d\d|(?:19|20)\d\d/\d\d/\d\d|\d\d\.\d\d\.(?:19|20)\d\d|\d\d/\d\d/(?:19|20)\d\d)(?![0-9A-SU-Za-z]|T(?!\d\d:))(?![./-]\d)",
     "phone": r"(?<![0-9A-Za-z+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}-\d{4}|(?<![0-9][.-])\d{3}-\d{3}-\d{4})(?![0-9A-Za-z])(?!-\d)",
     "ssn": r"(?<![0-9A-Za-z])(?<![0-9]-)\d{3}-\d\d-\d{4}(?![0-9A-Za-z])(?!-\d)",
     "ip": rf"(?<![0-9A-Za-z])(?<!\d\.){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9A-Za-z])(?!\.\d)",
     "card": r"(?<![0-9A-Za-z])(?<!\d[-.])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2,3}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{5})(?![0-9A-Za-z])(?![.-]\d)",
 }
-ANY = "|".join(SHAPES[k] for k in KINDS)
+ANY = "|".join(f"({SHAPES[k]})" for k in KINDS)
+#: What separates the pieces of a marked text, and what stands for its first character in a text that holds it.
+MARK, ESCAPED = "\ue000\ue001", "\ue000\ue002"
+#: Findings whose places are added up together; places of such blocks are then added up.
+BLOCK = 256
 #: First day and number of days of the dates that are permuted; 319 * 229 is that number.
 FIRST_DAY, DAYS = "1900-01-01", (319, 229)
 
@@ -151,26 +160,19 @@ def _day_of_american(text: Column) -> Column:
     return F.when(text.rlike(r"^\d\d/(?:1[3-9]|2\d|3[01])/"), day)
 
 
-def kind_of(text: Column) -> Column:
-    """The kind of a finding that is valid, else null."""
-    whole = {k: text.rlike(f"^(?:{SHAPES[k]})$") for k in KINDS}
+def is_valid(text: Column, kind: Column) -> Column:
+    """Whether a finding with a kind's shape validates."""
     flat = F.regexp_replace(text, " ", "")
     moved = F.concat(F.substring(flat, 5, 40), F.substring(flat, 1, 4))
     n = F.length(_digits(text))
-    used = ~text.rlike("^(?:000|666|9)") & ~text.rlike("-00-") & ~text.rlike("-0000$")
-    valid = {
-        "email": F.lit(True),
-        "iban": (_remainder_97(moved) == 1) & F.length(flat).between(15, 34),
-        "date": _date(text).isNotNull() | _day_of_american(text).isNotNull(),
-        "phone": n.between(9, 15),
-        "ssn": used,
-        "ip": F.lit(True),
-        "card": n.between(13, 19) & (_check_sum(_digits(text), True) % 10 == 0) & ~_digits(text).rlike("^0+$"),
-    }
-    out = F.when(whole[KINDS[0]] & valid[KINDS[0]], KINDS[0])
-    for k in KINDS[1:]:
-        out = out.when(whole[k] & valid[k], k)
-    return out
+    return (
+        F.when(kind == "iban", (_remainder_97(moved) == 1) & F.length(flat).between(15, 34))
+        .when(kind == "date", _date(text).isNotNull() | _day_of_american(text).isNotNull())
+        .when(kind == "phone", n.between(9, 15))
+        .when(kind == "ssn", ~text.rlike("^(?:000|666|9)") & ~text.rlike("-00-") & ~text.rlike("-0000$"))
+        .when(kind == "card", n.between(13, 19) & (_check_sum(_digits(text), True) % 10 == 0) & ~_digits(text).rlike("^0+$"))
+        .otherwise(F.lit(True))
+    )
 
 
 def pseudonym(text: Column, kind: Column, key: str) -> Column:
@@ -227,24 +229,50 @@ def pseudonym(text: Column, kind: Column, key: str) -> Column:
     return out.when(kind == "ssn", ssn).when(kind == "ip", ip).when(kind == "card", card).otherwise(text)
 
 
-def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = "lexquarry", out_col: str = "text", findings_col: str = "findings") -> DataFrame:
-    """``docs`` with the text's pseudonymised form and the findings (kind, start, end; code points of the original)."""
-    text = F.col(f"`{text_col}`").cast("string")
-    found = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("old"), F.regexp_extract_all(text, F.lit(f"({ANY})"), 1).alias("hits"))
-    marked = F.transform("hits", lambda m: F.struct(m.alias("was"), kind_of(m).alias("kind")))
-    found = found.withColumn("hits", F.when(F.size("hits") > 0, marked))
-    new = F.transform("hits", lambda m: pseudonym(m["was"], m["kind"], key))
-    pieces = F.split("old", ANY, -1)
-    joined = F.concat(F.array_join(F.zip_with(F.slice(pieces, F.lit(1), F.size("hits")), new, lambda a, b: F.concat(a, b)), ""), F.element_at(pieces, -1))
-    spans = F.aggregate(
-        F.zip_with(F.slice(pieces, F.lit(1), F.size("hits")), F.col("hits"), lambda a, b: F.struct(F.length(a).alias("gap"), F.length(b["was"]).alias("n"), b["kind"].alias("kind"))),
-        F.struct(F.lit(0).alias("at"), F.lit(None).cast("array<struct<kind:string,start:int,end:int>>").alias("out")),
-        lambda s, x: F.struct(
-            (s["at"] + x["gap"] + x["n"]).alias("at"),
-            F.when(x["kind"].isNull(), s["out"]).otherwise(F.concat(F.coalesce(s["out"], F.array().cast("array<struct<kind:string,start:int,end:int>>")), F.array(F.struct(x["kind"].alias("kind"), (s["at"] + x["gap"]).alias("start"), (s["at"] + x["gap"] + x["n"]).alias("end"))))).alias("out"),
-        ),
+def _running(sizes: Column) -> Column:
+    """Sums of an array of ints up to each of its places, block by block, so that no array grows by one place at a time for long."""
+    none = F.array().cast("array<int>")
+    step = lambda sums, x: F.concat(sums, F.array(F.coalesce(F.try_element_at(sums, F.lit(-1)), F.lit(0)) + x))
+    scan = lambda xs: F.aggregate(xs, none, step)
+    blocks = F.transform(F.sequence(F.lit(1), F.greatest(F.size(sizes), F.lit(1)), F.lit(BLOCK)), lambda at: scan(F.slice(sizes, at, BLOCK)))
+    bases = F.aggregate(
+        blocks,
+        F.struct(F.lit(0).alias("sum"), none.alias("out")),
+        lambda s, b: F.struct((s["sum"] + F.coalesce(F.try_element_at(b, F.lit(-1)), F.lit(0))).alias("sum"), F.concat(s["out"], F.array(s["sum"])).alias("out")),
         lambda s: s["out"],
     )
-    empty = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    columns = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in (out_col, findings_col)]
-    return found.select(*columns, F.when(F.col("hits").isNotNull(), joined).otherwise(F.col("old")).alias(out_col), F.coalesce(F.when(F.col("hits").isNotNull(), spans), empty).alias(findings_col))
+    return F.flatten(F.zip_with(blocks, bases, lambda b, base: F.transform(b, lambda x: x + base)))
+
+
+FINDINGS = "array<struct<kind:string,start:int,end:int>>"
+
+
+def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", out_col: str | None = None, findings_col: str = "findings") -> DataFrame:
+    """``docs`` with the text's pseudonymised form (in its place, or in ``out_col``) and the findings (kind, start, end; code points of the original).
+
+    Whoever knows ``key`` can turn pseudonyms back, so it has no default.
+    """
+    out_col = out_col or text_col
+    text = F.col(f"`{text_col}`").cast("string")
+    first = MARK[0]
+    escaped = F.replace(text, F.lit(first), F.lit(ESCAPED))
+    plain = lambda x: F.replace(x, F.lit(ESCAPED), F.lit(first))
+    width = len(KINDS) + 1
+    marked = F.regexp_replace(escaped, ANY, "".join(f"{MARK}${i}" for i in range(1, width)) + MARK)
+    found = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("old"), F.split(marked, MARK, -1).alias("pieces"))
+    # pieces: text, a place per kind of which one is taken, text ...
+    n = F.floor(F.size("pieces") / width).cast("int")
+
+    def hit(i: Column) -> Column:
+        own = F.slice("pieces", i * width + 2, len(KINDS))
+        return F.struct(plain(F.get("pieces", i * width)).alias("before"), F.array_join(own, "").alias("was"), F.element_at(F.array(*map(F.lit, KINDS)), F.array_position(F.transform(own, lambda x: x != ""), True).cast("int")).alias("kind"))
+
+    found = found.withColumn("hits", F.when(F.size("pieces") > 1, F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), hit)))
+    found = found.withColumn("hits", F.transform("hits", lambda h: F.struct(h["before"].alias("before"), h["was"].alias("was"), F.when(is_valid(h["was"], h["kind"]), h["kind"]).alias("kind"))))
+    joined = F.concat(F.array_join(F.transform("hits", lambda h: F.concat(h["before"], F.when(h["kind"].isNull(), h["was"]).otherwise(pseudonym(h["was"], h["kind"], key)))), ""), plain(F.element_at("pieces", -1)))
+    ends = _running(F.transform("hits", lambda h: F.length(h["before"]) + F.length(h["was"])))
+    spans = F.zip_with("hits", ends, lambda h, end: F.when(h["kind"].isNotNull(), F.struct(h["kind"].alias("kind"), (end - F.length(h["was"])).alias("start"), end.alias("end"))))
+    columns = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != out_col]
+    some = F.col("hits").isNotNull()
+    findings = F.coalesce(F.when(some, F.array_compact(spans).cast(FINDINGS)), F.array().cast(FINDINGS))
+    return found.select(*columns, F.when(some, joined).otherwise(F.col("old")).alias(out_col), findings.alias(free_name(findings_col, [*docs.columns, out_col])))

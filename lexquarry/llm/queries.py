@@ -76,7 +76,7 @@ def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op9_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     from lexquarry.llm.pii import KINDS, pseudonymise
 
-    out = pseudonymise(read(spark, folder, "documents").select("doc_id", "text"))
+    out = pseudonymise(read(spark, folder, "documents").select("doc_id", "text"), key="a key of the query's own")
     counts = [_findings_of(k).alias(f"n_{k}") for k in KINDS]
     return out.select("doc_id", *counts, "findings", "text")
 
