@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexquarry.llm.common import materialize
+from lexquarry.llm.common import discard, materialize
 
 
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -31,7 +31,8 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
             .where("u <> v")
             .distinct()
         )
-        links = materialize(small, name)
+        last, links = links, materialize(small, name)
+        discard(last)
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

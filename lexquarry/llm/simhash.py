@@ -31,13 +31,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from lexquarry.llm.common import materialize
+from lexquarry.llm.common import discard, materialize
 from lexquarry.llm.components import connected_components
 
 #: Shingles whose bits are counted at a time (64 bytes each).
 CHUNK = 1 << 16
 #: Neighbours that each fingerprint is compared with in the first pass; rows of a large group.
 LAGS, LARGE = 8, 64
+#: Rows of a table of a few numbers (some 30 MB) up to which it is broadcast.
+BROADCAST_ROWS = 1_000_000
 
 
 def shingle_digests(text: str | None, n: int) -> bytes:
@@ -202,6 +204,11 @@ def linked_prints(prints: DataFrame, distance: int = 4) -> DataFrame:
     return labelled.join(second, "label", "left").select("node", F.coalesce("root", "label").alias("component"))
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """A written table of a few longs a row, broadcast if it is counted to be small; else adaptive execution splits the joins' skewed keys."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, distance: int = 4) -> DataFrame:
     """One row per row of ``docs``: id, fingerprint (16 hex digits), component_id (smallest id reachable)."""
     prints = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), fingerprint(F.col(f"`{text_col}`"), n).alias("fp"))
@@ -209,36 +216,25 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # nodes are numbered by the fingerprint itself: ids may be null or repeat
     distinct = materialize(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
     groups = materialize(linked_prints(distinct.select("fp", F.col("fp").alias("node")), distance), "groups")
-    least = distinct.join(groups, distinct.fp == groups.node).groupBy("component").agg(F.min("least").alias("component_id"))
-    named = groups.join(least, "component").select(F.col("node").alias("fp"), "component_id")
-    out = prints.join(named, "fp")
+    least = materialize(distinct.join(groups, distinct.fp == groups.node).groupBy("component").agg(F.min("least").alias("component_id")), "least-ids")
+    named = materialize(groups.join(_small(least), "component").select(F.col("node").alias("fp"), "component_id"), "named-fingerprints")
+    out = prints.join(_small(named), "fp")
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Bins of a sketch; rows of a bucket beyond which its rows first meet its most central one; shingles that are known to be frequent, and how much of the rows tells them.
-BINS, CROWDED, FREQUENT, SAMPLE_ROWS, SAMPLE_SHARE = 256, 16, 1_000_000, 20_000, 1 / 16
+#: Rows of a bucket beyond which its rows first meet its most central one; shingles that are known to be frequent, and how much of the rows tells them.
+CROWDED, FREQUENT, SAMPLE_ROWS, SAMPLE_SHARE = 16, 1_000_000, 20_000, 1 / 16
 #: Keeps rounding from turning a whole number into the next; a test that errs by it lets a pair through to the exact one.
 _EPS = 1e-9
 
 
-def sketch(text: str | None, n: int) -> bytes:
-    """One-permutation minima of a text's shingles: 16 bits for each of the bins; 0 for an empty bin."""
-    hashes = np.frombuffer(shingle_digests(text, n), ">u8").astype(np.uint64)
-    least = np.full(BINS, np.iinfo(np.uint64).max, np.uint64)
-    np.minimum.at(least, (hashes >> np.uint64(56)).astype(np.int64), hashes << np.uint64(8))
-    found = least != np.iinfo(np.uint64).max
-    return np.where(found, (least >> np.uint64(48)) | np.uint64(1), 0).astype("<u2").tobytes()
-
-
-def similarities(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Jaccard similarities of the rows of two matrices of sketches."""
-    either = ((a != 0) | (b != 0)).sum(axis=1)
-    return np.where(either > 0, ((a == b) & (a != 0)).sum(axis=1) / np.maximum(either, 1), 1.0)
+def distinct_hashes(digests: bytes) -> np.ndarray:
+    return np.unique(np.frombuffer(digests, ">u8").astype(np.int64))
 
 
 def shingle_set(text: str | None, n: int) -> np.ndarray:
     """The distinct hashes of a text's shingles, sorted."""
-    return np.unique(np.frombuffer(shingle_digests(text, n), ">u8").astype(np.int64))
+    return distinct_hashes(shingle_digests(text, n))
 
 
 def prefix(own: np.ndarray, similarity: float, hot: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -281,17 +277,74 @@ def _similar(similarity: float):
     return check
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: float = 0.8) -> DataFrame:
+def _similar_pairs(keys: DataFrame, rows: DataFrame, texts: DataFrame, similarity: float, distance: int, whole) -> DataFrame:
+    """Links (a, b) of distinct sets (print, size, pos, key: their first shingles) that connect all sets with ``similarity``."""
+    shared = materialize(keys.join(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key"), "shared-keys")
+    once = rows.groupBy("print").agg(F.min("node").alias("node"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = materialize(pairs, "pairs")
+        needed = pairs.select(F.col("a").alias("print")).unionByName(pairs.select(F.col("b").alias("print"))).distinct().join(once, "print")
+        sets = texts.join(needed, "node").dropDuplicates(["print"]).select("print", whole("text").alias("set"))
+        sets = materialize(sets, "sets")
+        both = pairs.join(sets.select(F.col("print").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("print").alias("b"), F.col("set").alias("y")), "b")
+        links = materialize(both.select("a", "b", "x", "y").mapInPandas(_similar(similarity), "a long, b long"), "links")
+        discard(pairs, sets)
+        return links
+
+    sizes_fit = lambda x, y: F.least(x, y) >= F.lit(similarity) * F.greatest(x, y) - _EPS
+    # a row with many shared keys has few shingles of its own, so it is near the middle of its copies
+    degree = materialize(shared.groupBy("print").agg(F.count("*").alias("degree"), F.first("size").alias("size")), "degrees")
+    # the groups of the fingerprints
+    fps = materialize(rows.groupBy("print").agg(F.min("fp").alias("fp")), "fingerprints")
+    groups = materialize(linked_prints(fps.select("fp", F.col("fp").alias("node")).distinct(), distance), "groups")
+    members = fps.join(groups.withColumnRenamed("node", "fp"), "fp").join(degree, "print").select("component", "print", "size", "degree")
+    middle = members.groupBy("component").agg(F.max_by(F.struct("print", "size"), F.struct("degree", "print")).alias("m"))
+    stars = members.join(middle, "component").where(F.col("print") != F.col("m.print")).where(sizes_fit(F.col("size"), F.col("m.size"))).select("print", "m")
+    # crowded buckets, by classes of sizes
+    crowded = shared.where(F.col("n") > CROWDED).join(degree.select("print", "degree"), "print").withColumn("class", F.floor(F.log("size") / np.log(1 / similarity)))
+    middle = crowded.groupBy("key", "class").agg(F.max_by(F.struct("print", "size"), F.struct("degree", "print")).alias("m"))
+    more = crowded.join(middle, ["key", "class"]).where(F.col("print") != F.col("m.print")).where(sizes_fit(F.col("size"), F.col("m.size"))).select("print", "m")
+    stars = stars.unionByName(more).select(F.least("print", "m.print").alias("a"), F.greatest("print", "m.print").alias("b")).distinct()
+    near = materialize(connected_components(verified(stars)), "near-groups").withColumnRenamed("node", "print").withColumnRenamed("component", "label")
+
+    # all other pairs: in each bucket the rows that aren't the most frequent group's meet all rows of other groups
+    labelled = shared.join(near, "print", "left").withColumn("label", F.coalesce("label", "print"))
+    labelled = materialize(labelled.select("key", "print", "size", "pos", "label"), "labelled-keys")
+    most = labelled.groupBy("key", "label").count().groupBy("key").agg(F.max_by("label", F.struct("count", "label")).alias("most"), F.count("*").alias("labels")).where("labels > 1")
+    mixed = materialize(labelled.join(most.select("key", "most"), "key"), "mixed-keys")
+    discard(shared, labelled)
+    p, i = mixed.where("label <> most").alias("p"), mixed.alias("i")
+    share = F.lit(similarity / (1 + similarity)) * (F.col("p.size") + F.col("i.size")) - _EPS
+    # the first shingle in common has as many behind it in both as are needed; so pairs meet there, and by few others
+    first = F.least(F.col("p.size") - F.col("p.pos"), F.col("i.size") - F.col("i.pos")) >= share
+    meets = (F.col("p.key") == F.col("i.key")) & (F.col("p.label") != F.col("i.label")) & ((F.col("i.label") == F.col("i.most")) | (F.col("p.print") < F.col("i.print"))) & sizes_fit(F.col("p.size"), F.col("i.size")) & first
+    pairs = p.join(i, meets).groupBy(F.least("p.print", "i.print").alias("a"), F.greatest("p.print", "i.print").alias("b"))
+    # where a pair meets are the first shingles in common; what follows the last of these is the rest
+    pairs = pairs.agg(F.count("*").alias("c"), F.first(share).alias("share"), F.min(F.least(F.col("p.size") - F.col("p.pos"), F.col("i.size") - F.col("i.pos"))).alias("rest"))
+    links = verified(pairs.where(F.col("c") - 1 + F.col("rest") >= F.col("share")).select("a", "b"))
+    discard(mixed)
+    return links.unionByName(near.select(F.col("print").alias("a"), F.col("label").alias("b")))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: float = 0.8, distance: int = 4) -> DataFrame:
     """The rows of ``docs`` without those that are near copies of others: of each group the smallest id stays.
 
     Rows are linked if they share ``similarity`` or more of the distinct shingles of ``n`` words of both (exactly, up
-    to collisions of 64-bit hashes), and components of links are the groups. All links are found (prefix filtering; Bayardo, Ma and Srikant, WWW 2007): with
-    the shingles of every text in one order, two texts with that similarity share one of the first (1 - similarity) of
-    theirs. The order puts frequent shingles last, which keeps buckets of equal shingles small. Pairs of a bucket are
-    verified by their whole sets, unless their sizes, or how many of their first shingles they share, rule them out.
-    Rows of crowded buckets first meet their bucket's most central row and the row after them; then only pairs that these links
-    leave in different components are compared. Texts without words are copies of one another. Rows with the same id and
-    text are one row and stay or go together; a null id comes after all others.
+    to collisions of 64-bit hashes), and components of links are the groups. Candidates come from two sides:
+
+    * The pigeonring join of the SimHash fingerprints groups most copies. Each row of a group is compared with the group's most
+      central one, so a group is linked by as many comparisons as it has rows.
+    * Fingerprints within ``distance`` bits miss copies with more changes, so prefix filtering (Bayardo, Ma and Srikant,
+      WWW 2007) completes them: with the shingles of every text in one order, two texts with that similarity
+      share one of the first (1 - similarity) of theirs, and at the first one in common both have as many shingles left as are
+      needed. The order puts frequent shingles last, which keeps buckets of equal shingles small. Rows of crowded buckets
+      first meet their bucket's most central row; then only pairs are compared that lie in different components.
+
+    Every link is decided by the whole shingle sets. Defined results: null and empty texts and texts without words are copies
+    of one another; texts shorter than a shingle are one shingle. Rows with the same id and
+    text are one row and stay or go together; a null id comes after all others. Columns of any name are carried along; an empty
+    table gives an empty table.
     """
     spark = docs.sparkSession
     parts = (F.col(f"`{id_col}`").cast("string"), F.col(f"`{text_col}`").cast("string"))
@@ -299,14 +352,15 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     texts = docs.select(key.alias("node"), F.col(f"`{id_col}`").cast("long").alias("id"), parts[1].alias("text"))
     frequent = spark.sparkContext.broadcast(_frequent(texts, n))
 
-    @F.pandas_udf("struct<print:long,size:long,prefix:array<long>>")
+    @F.pandas_udf("struct<print:long,fp:long,size:long,prefix:array<long>>")
     def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         import xxhash
 
         for batch in batches:
-            sets = [shingle_set(t, n) for t in batch]
+            digests = [shingle_digests(t, n) for t in batch]
+            sets = list(map(distinct_hashes, digests))
             prints = [_signed(xxhash.xxh64_intdigest(s.tobytes(), 42)) for s in sets]
-            yield pd.DataFrame({"print": prints, "size": [len(s) for s in sets], "prefix": [prefix(s, similarity, *frequent.value) for s in sets]})
+            yield pd.DataFrame({"print": prints, "fp": [_signed(majority(d)) for d in digests], "size": [len(s) for s in sets], "prefix": [prefix(s, similarity, *frequent.value) for s in sets]})
 
     @F.pandas_udf("binary")
     def whole(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -315,46 +369,16 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     rows = materialize(texts.select("node", "id", read("text").alias("r")).select("node", "id", "r.*"), "prefixes")
     # equal sets are one print; buckets of one print have no pairs
-    once = rows.groupBy("print").agg(F.min("node").alias("node"))
-    keys = rows.join(once, ["print", "node"], "left_semi").dropDuplicates(["print"]).select("print", "size", F.size("prefix").alias("first"), F.explode("prefix").alias("key"))
+    keys = rows.groupBy("print").agg(F.min("node").alias("node"))
+    keys = rows.join(keys, ["print", "node"], "left_semi").dropDuplicates(["print"]).select("print", "size", F.posexplode("prefix").alias("pos", "key"))
     keys = materialize(keys, "keys")
-    shared = materialize(keys.join(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key"), "shared-keys")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = materialize(pairs, "pairs")
-        needed = pairs.select(F.col("a").alias("print")).unionByName(pairs.select(F.col("b").alias("print"))).distinct().join(once, "print")
-        sets = texts.join(needed, "node").dropDuplicates(["print"]).select("print", whole("text").alias("set"))
-        sets = materialize(sets, "sets")
-        both = pairs.join(sets.select(F.col("print").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("print").alias("b"), F.col("set").alias("y")), "b")
-        return materialize(both.select("a", "b", "x", "y").mapInPandas(_similar(similarity), "a long, b long"), "links")
-
-    sizes_fit = lambda x, y: F.least(x, y) >= F.lit(similarity) * F.greatest(x, y) - _EPS
-    # crowded buckets: a row with many shared keys has few shingles of its own, so it is near the middle of its copies
-    crowded = shared.where(F.col("n") > CROWDED)
-    near = None
-    if crowded.head(1):
-        degree = shared.groupBy("print").agg(F.count("*").alias("degree"))
-        crowded = crowded.join(degree, "print").withColumn("class", F.floor(F.log("size") / np.log(1 / similarity)))
-        middle = crowded.groupBy("key", "class").agg(F.max_by(F.struct("print", "size"), F.struct("degree", "print")).alias("m"))
-        stars = crowded.join(middle, ["key", "class"]).where(F.col("print") != F.col("m.print")).where(sizes_fit(F.col("size"), F.col("m.size")))
-        near = connected_components(verified(stars.select(F.least("print", "m.print").alias("a"), F.greatest("print", "m.print").alias("b")).distinct()))
-        near = materialize(near, "near-groups").withColumnRenamed("node", "print").withColumnRenamed("component", "label")
-        shared = materialize(shared.join(near, "print", "left").withColumn("label", F.coalesce("label", "print")), "labelled-keys")
-    else:
-        shared = shared.withColumn("label", F.col("print"))
-    mixed = shared.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    shared = materialize(shared.join(mixed, "key"), "mixed-keys") if near is not None else shared
-    p, i = shared.alias("p"), shared.alias("i")
-    meets = (F.col("p.key") == F.col("i.key")) & (F.col("p.print") < F.col("i.print")) & (F.col("p.label") != F.col("i.label")) & sizes_fit(F.col("p.size"), F.col("i.size"))
-    pairs = p.join(i, meets).groupBy(F.col("p.print").alias("a"), F.col("i.print").alias("b"))
-    # what two sets share lies among both their first shingles or among the rest of one
-    pairs = pairs.agg(F.count("*").alias("c"), F.first(F.col("p.size") + F.col("i.size")).alias("sum"), F.first(F.greatest(F.col("p.size") - F.col("p.first"), F.col("i.size") - F.col("i.first"))).alias("rest"))
-    links = verified(pairs.where(F.col("c") + F.col("rest") >= F.lit(similarity / (1 + similarity)) * F.col("sum") - _EPS).select("a", "b"))
-    if near is not None:
-        links = links.unionByName(near.select(F.col("print").alias("a"), F.col("label").alias("b")))
+    prints = materialize(rows.drop("prefix", "size"), "prints")
+    discard(rows)
+    rows = prints
+    links = _similar_pairs(keys, rows, texts, similarity, distance, whole)
+    discard(keys)
     same = materialize(connected_components(links), "copies").withColumnRenamed("node", "print")
     rows = rows.select("node", "id", "print").join(same, "print", "left").withColumn("component", F.coalesce("component", "print"))
     least = rows.groupBy("component").agg(F.min_by("node", F.struct(F.col("id").isNull(), "id", "node")).alias("stays"), F.count("*").alias("n")).where("n > 1")
     gone = materialize(rows.join(least, "component").where("node <> stays").select(F.col("node").alias("_near_copy")).distinct(), "near-copies")
-    small = gone.count() <= 1_000_000  # 8 bytes each
-    return docs.join(F.broadcast(gone) if small else gone, key == gone["_near_copy"], "left_anti")
+    return docs.join(_small(gone), key == gone["_near_copy"], "left_anti")
