@@ -19,8 +19,8 @@ A bucket of many different contexts (a passage that very many documents share) i
 it is first refined by the halves of the contexts (on the left and on the right of the anchor), by which nearly
 all of a passage shorter than ``length`` goes, and the strings left are counted one by one.
 
-Texts are shuffled twice (to fetch the contexts, and to cut the texts), anchors once; all
-joins are on hashed keys, and skewed ones can be split. Memory is bounded by a text and its anchors.
+Texts are shuffled twice (to fetch the contexts, and to cut the texts), anchors once; counts by gram are combined before
+they are shuffled, and joins read written tables only, so that adaptive execution can split a skewed one. Memory is bounded by a text and its anchors.
 
 Defined results: a null text is an empty one; texts shorter than ``length`` keep all bytes; equal rows
 are two documents (so all their strings repeat); a null id is a value like any other; extra columns are not
@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexquarry.llm.common import materialize
+from lexquarry.llm.common import discard, materialize
 
 _RANDOM = np.random.default_rng(20240229)
 _BYTES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -236,12 +236,14 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int, gra
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(k, m, text.alias("text")).where(F.octet_length("text") >= length)
     rows = materialize(rows.mapInPandas(_anchor_rows(length, gram), "g long, e long, k long, m int, at int"), "anchors")
-    buckets = rows.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
-    rows = materialize(rows.join(buckets, "g"), "shared-anchors")
+    # what a join is with is written first: then only the join deals the anchors by their gram, and a gram of very many is split
+    buckets = materialize(rows.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "shared-grams")
+    every, rows = rows, materialize(rows.join(buckets, "g"), "shared-anchors")
+    discard(every, buckets)
 
     classes = rows.groupBy("g", "e").agg(F.count("*").alias("n"), F.min(F.struct("k", "m", "at")).alias("one"))
     classes = materialize(classes.select("g", "e", "n", "one.*"), "classes")
-    several = classes.groupBy("g").agg(F.count("*").alias("classes")).where("classes > 1")
+    several = materialize(classes.groupBy("g").agg(F.count("*").alias("classes")).where("classes > 1"), "mixed-grams")
     ones = classes.join(several, "g").select("g", "e", "k", "m", "at", "classes")
     raw = docs.select(k, m, text.cast("binary").alias("raw"))
     lo = F.greatest(F.lit(0), F.col("at") - reach)
@@ -266,9 +268,10 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int, gra
     by_string = strings.join(same, ["g", "offset", "s"]).groupBy("g", "e").agg((F.min("offset") - reach).alias("lo"), (F.max("offset") - reach + length).alias("hi"))
 
     whole = classes.where("n > 1").select("g", "e", F.lit(-reach).alias("lo"), F.lit(gram + reach).alias("hi"))
-    found = materialize(refined.unionByName(by_string).unionByName(whole), "repeats")
     # a class with two members or more repeats everywhere, so what else is known of it says no more
-    found = found.groupBy("g", "e").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    found = refined.unionByName(by_string).unionByName(whole).groupBy("g", "e").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    found = materialize(found, "repeats")
+    discard(contexts, strings, classes, several)
     spans = rows.join(found, ["g", "e"]).select("k", "m", F.struct(F.greatest(F.lit(0), F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi")).alias("hi")).alias("span"))
     return spans.groupBy("k", "m").agg(F.collect_set("span").alias("spans"))
 
