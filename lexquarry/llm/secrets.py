@@ -3,14 +3,14 @@
 Base rules find credentials by their surroundings and shapes. Their findings are the labelled
 credentials from which formats are learnt: the values of each kind form a prefix tree with counts,
 and states whose outgoing and stopping frequencies agree within Hoeffding's bound are merged
-(ALERGIA; Carrasco and Oncina, 1994), which leaves a probabilistic automaton per kind. Ordinary long words and long numbers of the corpus
-give two further automata. All candidates, the runs of ``shortest`` or more characters of credentials, are
-then scored by the likelihood of their format: the best of the credentials' automata against the best of the
-ordinary ones. Candidates over the threshold that no base rule found are added as spans of the kind ``format``.
+(ALERGIA; Carrasco and Oncina, 1994), which leaves a probabilistic automaton per kind. Ordinary words, numbers and
+compounds of these give further automata. All candidates, the base findings' values and whatever base spans leave of runs of ``shortest``
+or more characters of credentials, are then scored by the likelihood of their format, length included: the best of the credentials'
+automata against the best of the ordinary ones. Candidates over the threshold that no base rule found are added as spans of the kind ``format``.
 
 Automata read classes of characters (a digit, a to f, g to z, the same in upper case, each sign), so that they
-learn formats, not values. They are fitted on samples of ``sample`` values a kind, those with the smallest hashes;
-the rest of the work is one pass over the texts and one over the candidates, neither with a shuffle of texts.
+learn formats, not values. They are fitted on samples of ``sample`` values a kind, those with the smallest hashes, of ``longest`` characters
+at most (longer values are scored like all others). The work is two passes over the texts, one to learn and one to score, neither with a shuffle of texts.
 
 Defined results: a null or empty text has no spans, the digest of the empty string and the span list ''; places are
 code points; rows that repeat an id are separate rows; a corpus without labelled credentials gets the base
@@ -212,81 +212,131 @@ class Formats:
         return (good - plain) / len(string)
 
     def is_secret(self, value: str) -> bool:
-        string = classes(value)
-        known = self.memo.get(string)
+        known = self.memo.get(value)
         if known is None:
-            s = self.score(value)
-            known = s >= self.least and s * len(value) >= self.total
-            if len(self.memo) < 200_000:
-                self.memo[string] = known
+            string = classes(value)
+            known = self.memo.get(string)
+            if known is None:
+                s = self.score(value)
+                known = s >= self.least and s * len(value) >= self.total
+            if len(self.memo) > 500_000:
+                self.memo.clear()
+            self.memo[value] = self.memo[string] = known
         return known
 
 
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_JOINED = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)(?:[+/_.=-]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+))*[+/_.=-]*")
+
+
 def ordinary_kind(value: str) -> str | None:
-    """Which kind of ordinary run a value may stand for, if any."""
-    letters, digits = sum(map(str.isalpha, value)), sum(map(str.isdigit, value))
-    return "word" if digits == 0 and letters >= 0.8 * len(value) else "number" if letters == 0 and digits >= 0.8 * len(value) else None
+    """Which kind of ordinary run a value may stand for, if any: a word, a number, or a compound of these with signs between."""
+    return "word" if _WORD.fullmatch(value) else "number" if value.isdigit() else "compound" if _JOINED.fullmatch(value) else None
+
+
+ORDINARY = ("word", "number", "compound")
+
+
+def free_parts(text: str, runs: list[tuple[int, int]], base: list[tuple], shortest: int) -> list[tuple[int, str]]:
+    """What the base spans leave of runs, where that is ``shortest`` characters or more."""
+    if not base:
+        return [(a, text[a:b]) for a, b in runs]
+    out, spans, i = [], sorted((s, e) for _, s, e, _ in base), 0
+    for a, b in runs:
+        while i < len(spans) and spans[i][1] <= a:
+            i += 1
+        at, j = a, i
+        while j < len(spans) and spans[j][0] < b:
+            if spans[j][0] - at >= shortest:
+                out.append((at, text[at : spans[j][0]]))
+            at = max(at, spans[j][1])
+            j += 1
+        if b - at >= shortest:
+            out.append((at, text[at:b]))
+    return out
+
+
+def _read(text: str | None, shortest: int) -> tuple[list[tuple], list[tuple[int, str]]]:
+    """Base spans and free parts of a text."""
+    if not text:
+        return [], []
+    runs = long_runs(text, min(shortest, LEAST["access"]))
+    base = base_spans(text, [x for x in runs if x[1] - x[0] >= LEAST["access"]])
+    return base, free_parts(text, [x for x in runs if x[1] - x[0] >= shortest], base, shortest)
 
 
-def _scan(shortest: int):
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = defaultdict(list)
-            for text in batch["text"]:
-                runs = long_runs(text, LEAST["access"]) if text else []
-                base = base_spans(text, runs)
-                free = [(a, b, text[a:b]) for a, b in runs if b - a >= shortest and not any(s < b and a < e for _, s, e, _ in base)]
-                for name, values in (("kinds", [x[0] for x in base]), ("starts", [x[1] for x in base]), ("ends", [x[2] for x in base]), ("values", [x[3] for x in base]), ("run_starts", [x[0] for x in free]), ("runs", [x[2] for x in free])):
-                    out[name].append(values)
-            yield pd.DataFrame({"id": batch["id"], **out})
+def _samples(shortest: int, sample: int, longest: int):
+    """Per task: of each kind the ``sample`` different values with the smallest hashes."""
 
-    return scan
+    def samples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from heapq import nsmallest
 
+        import xxhash
 
-SCANNED = "id string, kinds array<string>, starts array<long>, ends array<long>, values array<string>, run_starts array<long>, runs array<string>"
+        digest = xxhash.xxh64_intdigest
+        kinds = ("assign", "access", "hex", *ORDINARY)
+        found: dict[str, dict[str, int]] = {k: {} for k in kinds}
+        most = dict.fromkeys(kinds, 1 << 64)
+        seen: set[str] = set()
 
+        def add(kind: str, value: str, h: int) -> None:
+            own = found[kind]
+            if h < most[kind]:
+                own[value] = h
+                if len(own) >= 2 * sample:
+                    found[kind] = dict(nsmallest(sample, own.items(), key=lambda x: (x[1], x[0])))
+                    most[kind] = max(found[kind].values()) + 1
 
-def learn(scanned: DataFrame, sample: int, longest: int) -> Formats:
+        for batch in batches:
+            for text in batch["text"]:
+                base, free = _read(text, shortest)
+                for kind, _, _, value in base:
+                    if len(value) <= longest:
+                        add(kind, value, digest(value.encode()))
+                for _, value in free:
+                    if value not in seen and len(value) <= longest:
+                        h = digest(value.encode())
+                        if h < max(most[k] for k in ORDINARY) and (kind := ordinary_kind(value)):
+                            add(kind, value, h)
+                        if len(seen) >= 500_000:
+                            seen.clear()
+                        seen.add(value)
+        rows = [(k, v) for k in kinds for v, _ in nsmallest(sample, found[k].items(), key=lambda x: (x[1], x[0]))]
+        yield pd.DataFrame(rows, columns=["kind", "value"]).astype("object")
+
+    return samples
+
+
+def learn(texts: DataFrame, shortest: int, sample: int, longest: int) -> Formats:
     """From at most ``sample`` different values a kind, of at most ``longest`` characters."""
+    rows = materialize(texts.select("text").mapInPandas(_samples(shortest, sample, longest), "kind string, value string").distinct(), "samples")
+    found: dict[str, list[str]] = {}
+    for kind in ("assign", "access", "hex", *ORDINARY):  # a kind at a time, each a bounded top list
+        found[kind] = [r.value for r in rows.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(sample).collect()]
+    return Formats({k: found[k] for k in ("assign", "access", "hex")}, {k: found[k] for k in ORDINARY})
 
-    def values(rows: DataFrame) -> dict[str, list[str]]:
-        """(kind, value) -> the values with the smallest hashes; a kind at a time, each a bounded top list."""
-        rows = rows.where(F.length("value") <= longest).distinct()
-        found = defaultdict(list)
-        for kind in ("assign", "access", "hex", "word", "number"):
-            for r in rows.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(sample).collect():
-                found[kind].append(r.value)
-        return found
-
-    base = scanned.select(F.explode(F.arrays_zip("kinds", "values")).alias("x")).select(F.col("x.kinds").alias("kind"), F.col("x.values").alias("value"))
-    run = scanned.select(F.explode("runs").alias("value"))
-    letters, digits = (F.length(F.regexp_replace("value", p, "")) for p in ("[^A-Za-z]", "[^0-9]"))
-    kind = F.when((digits == 0) & (letters >= 0.8 * F.length("value")), "word").when((letters == 0) & (digits >= 0.8 * F.length("value")), "number")
-    found = values(materialize(base.unionByName(run.select(kind.alias("kind"), "value").where("kind is not null")).distinct(), "labelled"))
-    return Formats({k: found[k] for k in ("assign", "access", "hex")}, {k: found[k] for k in ("word", "number")})
-
-
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = 20, sample: int = 2000, longest: int = 256) -> DataFrame:
-    """One row per row of ``docs``: id, and the findings (kind, start, end, value, score) as an array of structs."""
+
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = 8, sample: int = 2000, longest: int = 256) -> DataFrame:
+    """One row per row of ``docs``: id, and the findings (kind, start, end, value, score) as an array of structs; the score is the log-odds of a credential's format, per character."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    scanned = materialize(texts.mapInPandas(_scan(shortest), SCANNED), "scanned")
-    shared = spark.sparkContext.broadcast(learn(scanned, sample, longest))
+    shared = spark.sparkContext.broadcast(learn(texts, shortest, sample, longest))
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         formats = shared.value
         for batch in batches:
             rows = []
-            for kinds, starts, ends, values, run_starts, runs in zip(*(batch[c] for c in ("kinds", "starts", "ends", "values", "run_starts", "runs")), strict=True):
-                found = [(k, int(a), int(b), v, 0.0) for k, a, b, v in zip(kinds, starts, ends, values, strict=True)]
+            for text in batch["text"]:
+                base, free = _read(text, shortest)
+                found = [(*x, formats.score(x[3])) for x in base]
                 if formats.credentials:
-                    found += [("format", int(a), int(a) + len(v), v, formats.score(v)) for a, v in zip(run_starts, runs, strict=True) if formats.is_secret(v)]
-                found.sort(key=lambda x: (x[1], KINDS.index(x[0])))
+                    found += [("format", a, a + len(v), v, formats.score(v)) for a, v in free if formats.is_secret(v)]
+                    found.sort(key=lambda x: (x[1], KINDS.index(x[0])))
                 rows.append([dict(zip(("kind", "start", "end", "value", "score"), x, strict=True)) for x in found])
             yield pd.DataFrame({"id": batch["id"], "findings": rows})
 
-    out = scanned.mapInPandas(judge, "id string, findings array<struct<kind:string,start:long,end:long,value:string,score:double>>")
+    out = texts.mapInPandas(judge, "id string, findings array<struct<kind:string,start:long,end:long,value:string,score:double>>")
     return out.select(F.col("id").cast(kind).alias(id_col), "findings")
 
 
