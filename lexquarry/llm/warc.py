@@ -97,7 +97,7 @@ def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
 
 def derive(responses: DataFrame) -> DataFrame:
-    """Per response its metadata and conversion record, as the structs ``metadata`` and ``conversion``; other columns stay."""
+    """Per response its metadata and conversion record, as the structs ``metadata`` and ``conversion``; other columns stay, but for those of the new ones' names."""
     title = F.replace(F.regexp_extract("payload", TITLE, 1), F.lit("\n"), F.lit(" "))
     links = F.regexp_extract_all("payload", F.lit(LINK), 1)
     origin = F.regexp_extract("target_uri", "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
@@ -115,7 +115,8 @@ def derive(responses: DataFrame) -> DataFrame:
             .otherwise(F.concat("folder", link))
         )
 
-    found = responses.withColumns({"origin": origin, "scheme": scheme}).withColumn("folder", folder)
+    own = ("record_id", "target_uri", "date", "http_headers", "payload", "payload_digest")
+    found = responses.select(*own, F.struct(*[F.col(f"`{c}`") for c in responses.columns]).alias("row")).withColumns({"origin": origin, "scheme": scheme}).withColumn("folder", folder)
     found = found.withColumns({"title": title, "language": F.regexp_extract("payload", LANGUAGE, 1), "links": F.array_compact(F.transform(links, absolute))})
     found = plain_text(_characters(found, "title").withColumn("title", _tidy(F.col("title"))), "payload", "text")
     source = F.transform(F.split("http_headers", "\r\n"), lambda h: F.concat(F.lit("source-header: "), h, F.lit("\r\n")))
@@ -133,7 +134,8 @@ def derive(responses: DataFrame) -> DataFrame:
             F.lit(content_type).alias("content_type"), "payload_digest", digest(F.col(block)).alias("block_digest"), F.octet_length(block).cast("long").alias("content_length"), F.col(block).alias("block"),
         )
 
-    kept = [F.col(f"`{c}`") for c in responses.columns]
+    new = ("title", "language", "n_outlinks", "metadata", "conversion")
+    kept = [F.col(f"row.`{c}`").alias(c) for c in responses.columns if c not in new]
     return found.select(*kept, "title", "language", F.coalesce(F.size("links"), F.lit(0)).cast("long").alias("n_outlinks"), made("metadata", "application/warc-fields", "fields").alias("metadata"), made("conversion", "text/plain; charset=utf-8", "text").alias("conversion"))
 
 

@@ -219,3 +219,11 @@ def test_archive_round_trip(spark, tmp_path):
         x = want[r.headers["warc-record-id"]]
         assert r.block == x.block and r.headers["warc-refers-to"] == x.refers_to and r.headers["warc-block-digest"] == x.block_digest
         assert r.headers.get("warc-target-uri") == x.target_uri and r.headers["warc-type"] == x.warc_type
+
+
+def test_clashing_columns_of_responses(spark):
+    page = spark.createDataFrame([(1, "https://x.org/a", "<title>T</title><p>b</p>")], "page_id long, url string, html string")
+    made = warc.responses(page).withColumns({c: F.lit(c) for c in ("title", "text", "links", "origin", "fields", "row")})
+    r = warc.derive(made).first()
+    assert (r.title, r.text, r.links, r.origin, r.fields, r.row) == ("T", "text", "links", "origin", "fields", "row") and "b" in r.conversion.block
+    assert warc.derive(made).columns.count("title") == 1
