@@ -53,7 +53,7 @@ def edited(rng, text, share, words):
 def test_recall_against_brute_force(share, words, least):
     rng = random.Random(3)
     items = [(i, sentence(rng, rng.randint(15, 60))) for i in range(40)]
-    block = decontam.Benchmark(items, 0.8, 300, 3, 0.02, 7)
+    block = decontam.Benchmark(items, 0.8, 400, 4, 0.02, 7)
     block.open()
     found = wanted = 0
     for i, text in items * 2:
