@@ -39,6 +39,8 @@ from lexquarry.llm.common import discard, materialize
 
 GRAM = 12
 RUN, STRIDE = 24, 3
+#: Texts whose windows are walked through together.
+TEXTS = 64
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -120,39 +122,47 @@ class Benchmark:
         self.shift = np.uint64(64 - max(16, int(16 * len(self.grams)).bit_length()))
         self.table = np.zeros(1 << (64 - int(self.shift)), np.uint8)
         self.table[(self.grams * _ODD) >> self.shift] = 1
-        # classes of lengths: the places that the hashes sample, and the hashes of the items
+        # classes of lengths: the places that the hashes sample, and what the items have there
         self.class_of = [int(np.log(max(len(t), 1)) / np.log(1.2)) for t in self.texts]
-        self.places, self.item_hashes = {}, {}
+        self.places, self.columns, self.item_reads = {}, {}, {}
         for c in sorted(set(self.class_of)):
             items = [i for i, k in enumerate(self.class_of) if k == c]
             reach = 2 * min(len(self.texts[i]) for i in items)
             self.places[c] = np.stack([rng.choice(reach, min(self.bits, reach), replace=False) for _ in range(self.tables)])
             joined = b"".join(map(self.padded, (self.texts[i] for i in items)))
             starts = np.cumsum([0, *(len(self.texts[i]) + 2 * self.longest + 8 for i in items)])[:-1]
-            self.item_hashes |= dict(zip(items, self.hashes(np.frombuffer(joined, np.uint8), starts, self.places[c]), strict=True))
+            self.columns[c] = np.searchsorted(np.unique(self.places[c]), self.places[c])
+            self.item_reads |= dict(zip(items, self.read(np.frombuffer(joined, np.uint8), starts, self.places[c]).T, strict=True))
         self.ready = True
 
     def padded(self, raw: bytes) -> bytes:
         return raw + bytes(2 * self.longest + 8)
 
-    def hashes(self, text: np.ndarray, starts: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """(window, table): hashes of the embedding's sampled places, for windows of a text that is padded with zeros."""
+    def read(self, text: np.ndarray, starts: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """(place, window): the characters of the embedding at the sampled places, in order, for windows of a text that is padded with zeros."""
         needed = np.unique(places)
-        slot = {int(j): i for i, j in enumerate(needed)}
-        read = np.empty((len(needed), len(starts)), np.uint8)
-        at = np.asarray(starts, np.int64).copy()
+        out = np.empty((len(needed), len(starts)), np.uint8)
+        at, i = np.asarray(starts, np.int64).copy(), 0
         for j in range(int(needed[-1]) + 1):
             symbol = text[at]
-            if j in slot:
-                read[slot[j]] = symbol
+            if j == needed[i]:
+                out[i] = symbol
+                i += 1
             at += self.steps[j][symbol]
-        rows = read[np.searchsorted(needed, places)].astype(np.uint64)  # table, place, window
-        out = np.zeros((len(starts), len(places)), np.uint64)
-        for k in range(places.shape[1]):
-            out = (out + rows[:, k].T + np.uint64(1)) * _ODD
-            out ^= out >> np.uint64(29)
         return out
 
+    def agree(self, item: int, read: np.ndarray) -> np.ndarray:
+        """Which windows agree with the item in all places of some hash."""
+        same = read == self.item_reads[item][:, None]
+        tables = self.columns[self.class_of[item]]
+        some = np.zeros(read.shape[1], bool)
+        for i in range(0, len(tables), 64):
+            own = same[tables[i : i + 64, 0]]
+            for k in range(1, tables.shape[1]):
+                own &= same[tables[i : i + 64, k]]
+            some |= own.any(axis=0)
+        return some
+
     def dense(self, raw: bytes) -> list[tuple[int, np.ndarray]]:
         """(item, starts of the windows of its size that hold enough of its grams)."""
         grams = grams_of(raw)
@@ -180,21 +190,33 @@ class Benchmark:
 
     def matches(self, raw: bytes) -> list[tuple[int, int, int, int]]:
         """(item, distance, start, end) in the normal form of a text, the best part for each item."""
-        by_class = defaultdict(list)
-        for item, starts in self.dense(raw):
-            by_class[self.class_of[item]].append((item, starts))
-        out = [(i, 0, at, at + len(self.texts[i])) for i in self.tiny if (at := raw.find(self.texts[i])) >= 0]
-        text = np.frombuffer(self.padded(raw), np.uint8) if by_class else None
-        for c, pairs in by_class.items():
-            every = np.unique(np.concatenate([starts for _, starts in pairs]))
-            hashes = np.concatenate([self.hashes(text, part, self.places[c]) for part in np.array_split(every, -(-len(every) // 4096))])
-            for item, starts in pairs:
-                own = hashes[np.searchsorted(every, starts)]
-                agree = starts[(own == self.item_hashes[item]).any(axis=1)]
-                best = self.verified(item, agree.tolist(), raw)
+        return self.matches_of([raw])[0]
+
+    def matches_of(self, raws: list[bytes]) -> list[list[tuple[int, int, int, int]]]:
+        """The matches of several texts, whose windows are walked through together."""
+        out = [[(i, 0, at, at + len(self.texts[i])) for i in self.tiny if (at := raw.find(self.texts[i])) >= 0] for raw in raws]
+        by_class, some = defaultdict(list), {}
+        for k, raw in enumerate(raws):
+            for item, starts in self.dense(raw):
+                some.setdefault(k, None)
+                by_class[self.class_of[item]].append((item, k, starts))
+        begin = dict(zip(some, np.cumsum([0, *(len(raws[k]) + 2 * self.longest + 8 for k in some)]).tolist(), strict=False))
+        text = np.frombuffer(b"".join(self.padded(raws[k]) for k in some), np.uint8)
+        for c, found in by_class.items():
+            every = np.unique(np.concatenate([starts + begin[k] for _, k, starts in found]))
+            near = [[] for _ in found]
+            for part in np.array_split(every, -(-len(every) // 4096)):
+                read = self.read(text, part, self.places[c])
+                for (item, k, starts), own in zip(found, near, strict=True):
+                    at = starts + begin[k]
+                    at = at[np.searchsorted(at, part[0]) : np.searchsorted(at, part[-1], "right")]
+                    if len(at):
+                        own.append(at[self.agree(item, read[:, np.searchsorted(part, at)])] - begin[k])
+            for (item, k, _), own in zip(found, near, strict=True):
+                best = self.verified(item, np.concatenate(own).tolist(), raws[k])
                 if best:
-                    out.append((item, *best))
-        return sorted(out)
+                    out[k].append((item, *best))
+        return list(map(sorted, out))
 
     def verified(self, item: int, starts: list[int], raw: bytes) -> tuple[int, int, int] | None:
         """The best part of a text, of those at the starts given, if it is near enough."""
@@ -238,10 +260,12 @@ def _scanner(shared):
         own.open()
         for batch in texts:
             rows = []
-            for text in batch:
-                raw = normal(text)
+            raws, matches = list(map(normal, batch)), []
+            for i in range(0, len(raws), TEXTS):
+                matches += own.matches_of(raws[i : i + TEXTS])
+            for raw, parts in zip(raws, matches, strict=True):
                 found = []
-                for i, distance, start, end in own.matches(raw):
+                for i, distance, start, end in parts:
                     words = raw.count(b" ", 0, start), raw.count(b" ", 0, end) + 1
                     found.append({"item": own.items[i][0], "distance": distance, "similarity": 1 - distance / len(own.texts[i]), "start_word": words[0], "end_word": words[1]})
                 rows.append(found)
