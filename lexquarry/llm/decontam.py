@@ -39,6 +39,8 @@ from lexquarry.llm.common import discard, materialize
 
 GRAM = 12
 RUN, STRIDE = 24, 3
+#: Bytes of the strings that candidates are counted by before their edit distance.
+SHORT = 3
 #: Texts whose windows are walked through together.
 TEXTS = 64
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -57,6 +59,11 @@ def grams_of(raw: bytes) -> np.ndarray:
     return eight[:n] * _ODD ^ eight[GRAM - 8 :] * np.uint64(0xBF58476D1CE4E5B9)
 
 
+def short_grams(text: np.ndarray) -> np.ndarray:
+    """All strings of SHORT bytes as numbers."""
+    return text[:-2] << 16 | text[1:-1] << 8 | text[2:]
+
+
 def window_starts(raw: bytes) -> np.ndarray:
     """Where windows begin: at words, and at a stride within long runs without a blank."""
     words = np.r_[0, np.flatnonzero(np.frombuffer(raw, np.uint8) == 32) + 1]
@@ -68,14 +75,14 @@ def window_starts(raw: bytes) -> np.ndarray:
 def distance_of_best_part(pattern: bytes, text: bytes, most: int) -> tuple[int, int]:
     """The least edit distance of ``pattern`` to a part of ``text``, and the first place where such a part ends; (most + 1, 0) beyond."""
     n = len(pattern)
-    masks: dict[int, int] = defaultdict(int)
+    masks = [0] * 256
     for i, c in enumerate(pattern):
         masks[c] |= 1 << i
     full, top = (1 << n) - 1, 1 << (n - 1)
     up, down, score = full, 0, n
     best = (most + 1, 0) if n > most else (n, 0)
     for j, c in enumerate(text):
-        eq = masks.get(c, 0)
+        eq = masks[c]
         x = eq | down
         d = (((eq & up) + up) ^ up) | x
         add, take = down | (~(d | up) & full), up & d
@@ -112,6 +119,7 @@ class Benchmark:
         self.longest = max(map(len, self.texts), default=1)
         self.steps = rng.integers(0, 2, (2 * self.longest + 2, 256), dtype=np.uint8).astype(np.int64)
         own = [np.unique(grams_of(t)) for t in self.texts]
+        self.short = [np.unique(short_grams(np.frombuffer(t, np.uint8).astype(np.int32)), return_counts=True) for t in self.texts]
         self.tiny = [i for i, t in enumerate(self.texts) if 0 < len(t) < GRAM]
         self.enough = np.array([max(1, int(self.share * len(x))) for x in own])
         # sorted grams, the items that have each, and a table that tells most other grams from them
@@ -218,6 +226,35 @@ class Benchmark:
                     out[k].append((item, *best))
         return list(map(sorted, out))
 
+    def regions(self, item: int, starts: list[int], raw: bytes, most: int) -> list[tuple[int, int]]:
+        """The parts of a text that may hold the item near the starts, in order, those that overlap as one.
+
+        An edit spoils SHORT of the item's strings of SHORT bytes at most, so a part that shares fewer than are left then can't be near enough.
+        """
+        if not starts:
+            return []
+        size = len(self.texts[item])
+        own, counts = self.short[item]
+        least = size - SHORT + 1 - SHORT * most
+        first, last = max(0, starts[0] - most), min(len(raw), starts[-1] + size + most)
+        text = np.frombuffer(raw, np.uint8, last - first, first).astype(np.int32)
+        codes = short_grams(text)
+        place = np.minimum(np.searchsorted(own, codes), len(own) - 1) if least > 0 else None
+        if place is not None:
+            place[own[place] != codes] = len(own)
+        out: list[tuple[int, int]] = []
+        for start in starts:
+            lo, hi = max(0, start - most), min(len(raw), start + size + most)
+            if place is not None:
+                shared = np.bincount(place[lo - first : max(lo, hi - SHORT + 1) - first], minlength=len(own) + 1)[: len(own)]
+                if np.minimum(shared, counts).sum() < least:
+                    continue
+            if out and lo <= out[-1][1]:
+                out[-1] = out[-1][0], hi
+            else:
+                out.append((lo, hi))
+        return out
+
     def verified(self, item: int, starts: list[int], raw: bytes) -> tuple[int, int, int] | None:
         """The best part of a text, of those at the starts given, if it is near enough."""
         pattern = self.texts[item]
@@ -226,9 +263,8 @@ class Benchmark:
             return 0, at, at + len(pattern)
         most = int((1 - self.similarity) * len(pattern) + 1e-9)
         best, end = most + 1, 0
-        for start in starts:
-            lo = max(0, start - most)
-            distance, at = distance_of_best_part(pattern, raw[lo : start + len(pattern) + most], best - 1)
+        for lo, hi in self.regions(item, starts, raw, most):
+            distance, at = distance_of_best_part(pattern, raw[lo:hi], best - 1)
             if distance < best:
                 best, end = distance, lo + at
         if best > most:
