@@ -91,3 +91,24 @@ def test_items_without_blanks_and_short_ones(spark):
     rows = [(1, signs(301) + item + signs(50)), (2, signs(300) + changed + signs(50)), (3, "z" * 401 + token + "z" * 40), (4, "they asked: who built troy? and"), (5, "x a b c d e y"), (6, signs(500))]
     got = {r.doc_id: [m.item for m in r.matches] for r in decontam.find_contamination(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
     assert got == {1: [1], 2: [1], 3: [2], 4: [3], 5: [4], 6: []}
+
+
+def test_counting_short_strings_loses_no_candidate():
+    """Whatever is near enough by the edit distance alone is found, at distances up to the most."""
+    rng = random.Random(12)
+    letters = "abcdefghij "
+    for size in (15, 40, 120, 230):
+        items = [(i, "".join(rng.choice(letters) for _ in range(size)).strip().replace("  ", " a")) for i in range(5)]
+        own = decontam.Benchmark(items, 0.8, 20, 2, 0.02, 7)
+        own.open()
+        for i, pattern in enumerate(own.texts):
+            most = int(0.2 * len(pattern) + 1e-9)
+            for edits in (1, most // 2, most, most + 3):
+                part = bytearray(pattern)
+                for at in rng.sample(range(len(part)), edits):
+                    part[at] = ord(rng.choice("xyz"))
+                raw = b"some words before " + bytes(part) + b" and some after"
+                starts = decontam.window_starts(raw).tolist()
+                want = min(decontam.distance_of_best_part(pattern, raw[max(0, s - most) : s + len(pattern) + most], most)[0] for s in starts)
+                got = own.verified(i, starts, raw)
+                assert (got[0] if got else most + 1) == want
