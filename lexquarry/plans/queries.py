@@ -15,6 +15,7 @@ from lexquarry.functions.text import SPACE
 from lexquarry.operators import chunking, citations, curation, embedding, entities, graph, health, infobox, search, store
 from lexquarry.operators.articles import extract_articles, with_citations
 from lexquarry.operators.filters import where, where_document
+from lexquarry.plans.folds import chunks_sql
 from lexquarry.streaming.ingest import windowed_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -451,7 +452,10 @@ def _exploded(df: DataFrame, found: Column) -> DataFrame:
     return df.select("doc_id", F.explode(found).alias("c")).select("doc_id", "c.*")
 
 
-@query()
+_CHUNK = "doc_id, text, chunk_index, section, line_start, line_end, word_count, estimated_tokens"
+
+
+@query(f"WITH RECURSIVE {W_}, marked AS (SELECT doc_id, {strip_sql('m')} AS body FROM wiki), {chunks_sql('marked', 200)} SELECT {_CHUNK} FROM made")
 def chunk_main_fold(spark: SparkSession, folder: str) -> DataFrame:
     return _exploded(wiki(spark, folder), chunking.chunks(F.col("m"), chunking.ChunkConfig(max_tokens=200)))
 
@@ -474,10 +478,43 @@ def chunk_words_greedy(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", F.col("line_start").cast("long").alias("line_start"), F.col("line_end").cast("long").alias("line_end"), F.col("word_count").cast("long").alias("n_words"))
 
 
-@query()
+@query(f"WITH RECURSIVE plain AS (SELECT doc_id, {strip_sql('text')} AS body FROM documents), {chunks_sql('plain', 100)} SELECT {_CHUNK} FROM made")
+def chunk_headerless(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts without headers, cut as oversized pieces."""
+    return _exploded(documents(spark, folder), chunking.chunks(text.strip("text"), chunking.ChunkConfig(max_tokens=100)))
+
+
+_UNEVEN = (
+    "concat('== ', source, ' ==', chr(10), replace(text, '. ', CASE WHEN doc_id % 3 = 0 THEN '.' || chr(10) WHEN doc_id % 3 = 1 THEN '; ' ELSE '! ' END), chr(10), chr(10), "
+    "'  === Sub = x ===', chr(10), repeat(text || ' ', (doc_id % 2)::int), chr(10), '====', lang, '====  ', chr(10), repeat('same words again. ', (doc_id % 40)::int), chr(10), substr(text, 1, 900), chr(10), '== End ==')"
+)
+
+
+@query(f"WITH RECURSIVE uneven AS (SELECT doc_id, {strip_sql(_UNEVEN)} AS body FROM documents), {chunks_sql('uneven', 60, 12)} SELECT {_CHUNK} FROM made")
+def chunk_uneven_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines beyond the limit, headers within and after them, repeated sentences and an overlap of lines."""
+    rows = documents(spark, folder).select("doc_id", text.strip(F.expr(_UNEVEN)).alias("m"))
+    return _exploded(rows, chunking.chunks(F.col("m"), chunking.ChunkConfig(max_tokens=60, overlap_tokens=12)))
+
+
+@query(
+    f"""
+    WITH RECURSIVE {W_}, {_INTERNAL_SQL}, clean AS (SELECT doc_id, {_clean_sql("m")} AS body FROM wiki), {chunks_sql("clean", 300)},
+    big AS (SELECT *, lag(text) OVER (PARTITION BY doc_id ORDER BY chunk_index) AS before FROM made WHERE word_count >= 10),
+    kept AS (SELECT * EXCLUDE (chunk_index), (row_number() OVER (PARTITION BY doc_id ORDER BY chunk_index) - 1)::INTEGER AS chunk_index FROM big WHERE text IS DISTINCT FROM before),
+    linked AS (SELECT doc_id, string_agg(target, '|' ORDER BY i) FILTER (link_type = 'internal') AS internal_links, string_agg(target, '|' ORDER BY i) FILTER (link_type = 'category') AS categories FROM internal GROUP BY doc_id)
+    SELECT lang || '/' || source || '_' || doc_id || '#' || chunk_index AS chunk_id, text, source || ' ' || doc_id AS article_title, lang AS namespace, section, chunk_index, line_start || '-' || line_end AS line_range,
+           word_count::BIGINT AS word_count, categories, internal_links, doc_id % 10 = 0 AS is_stub, (doc_id % 7 = 0)::BIGINT AS citation_needed_count, doc_id % 5 = 0 AS has_blockquote,
+           NULL::VARCHAR AS library_work_author, NULL::VARCHAR AS library_work_type, NULL::INTEGER AS library_work_published_year, 'person' AS infobox_type, NULL::VARCHAR AS political_orientation,
+           string_split(categories, '|')[1] AS primary_category, len(string_split(categories, '|'))::INTEGER AS category_count
+    FROM kept JOIN wiki USING (doc_id) JOIN linked USING (doc_id)
+    """
+)
 def chunk_fact_table(spark: SparkSession, folder: str) -> DataFrame:
     rows = wiki(spark, folder).select(F.col("lang").alias("namespace"), F.concat_ws(" ", "source", F.col("doc_id").cast("string")).alias("title"), F.col("m").alias("markup"))
-    return chunking.chunk_records(extract_articles(rows), chunking.ChunkConfig(max_tokens=300))
+    out = chunking.chunk_records(extract_articles(rows), chunking.ChunkConfig(max_tokens=300))
+    lists = {c: F.array_join(c, "|") for c in ("categories", "internal_links", "political_orientation")}
+    return out.withColumns({**lists, "word_count": F.col("word_count").cast("long")})
 
 
 # -- embeddings
