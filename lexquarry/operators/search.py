@@ -25,10 +25,20 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
-def distance(a: Column, b: Column, metric: str = "cosine") -> Column:
-    """cosine: 1 - cosine; l2: squared distance; ip: 1 - dot product. Vectors of unequal length fail."""
+def vector_column(vector: Sequence[float]) -> Column:
+    """A vector as one constant; an expression per number would take the planner longer than the search."""
+    return F.split(F.lit(",".join(repr(float(x)) for x in vector)), ",").cast("array<double>")
+
+
+def with_norms(rows: DataFrame, embedding_col: str = "embedding", norm_col: str = "squared_norm") -> DataFrame:
+    """``rows`` with each vector's product with itself, to be stored beside it."""
+    return rows.withColumn(norm_col, dot(F.col(embedding_col), F.col(embedding_col)))
+
+
+def distance(a: Column, b: Column, metric: str = "cosine", a_norm: Column | None = None, b_norm: Column | None = None) -> Column:
+    """cosine: 1 - cosine; l2: squared distance; ip: 1 - dot product. Vectors of unequal length fail. Squared norms that are known save a pass each."""
     if metric == "cosine":
-        out = 1 - dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
+        out = 1 - dot(a, b) / F.sqrt((dot(a, a) if a_norm is None else a_norm) * (dot(b, b) if b_norm is None else b_norm))
     elif metric == "l2":
         out = F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))), F.lit(0.0), lambda s, x: s + x)
     elif metric == "ip":
@@ -44,25 +54,30 @@ def checked_limit(limit: int) -> int:
     return limit
 
 
-def search(rows: DataFrame, vector: Sequence[float], limit: int = 10, where: dict | None = None, where_document: dict | None = None, metric: str = "cosine", id_col: str = "chunk_id", embedding_col: str = "embedding", text_col: str = "text") -> DataFrame:
-    """The nearest rows, with their distance and score (1 - distance); equal distances by id."""
+def search(rows: DataFrame, vector: Sequence[float], limit: int = 10, where: dict | None = None, where_document: dict | None = None, metric: str = "cosine", id_col: str = "chunk_id", embedding_col: str = "embedding", text_col: str = "text", norm_col: str | None = None) -> DataFrame:
+    """The nearest rows, with their distance and score (1 - distance); equal distances by id. ``norm_col``: see :func:`with_norms`."""
     kept = rows.where(compile_where(where))
     if where_document:
         kept = kept.where(compile_document(where_document, F.col(text_col)))
-    query = F.array(*[F.lit(float(x)) for x in vector])
-    found = kept.withColumn("distance", distance(F.col(embedding_col), query, metric)).withColumn("score", 1 - F.col("distance"))
+    own = 0.0
+    for x in vector:  # in the order of the JVM's sum
+        own += float(x) * float(x)
+    norm = F.col(norm_col) if norm_col else None
+    found = kept.withColumn("distance", distance(F.col(embedding_col), vector_column(vector), metric, norm, F.lit(own))).withColumn("score", 1 - F.col("distance"))
     return found.orderBy("distance", id_col).limit(limit)
 
 
-def search_many(rows: DataFrame, queries: DataFrame, limit: int = 10, metric: str = "cosine", id_col: str = "vec_id", embedding_col: str = "embedding", query_id: str = "query_id", query_col: str = "query") -> DataFrame:
-    """(query_id, id, distance, rank) of the nearest rows of each query; queries are broadcast in blocks of a fixed size."""
+def search_many(rows: DataFrame, queries: DataFrame, limit: int = 10, metric: str = "cosine", id_col: str = "vec_id", embedding_col: str = "embedding", query_id: str = "query_id", query_col: str = "query", norm_col: str | None = None) -> DataFrame:
+    """(query_id, id, distance, rank) of the nearest rows of each query; queries are broadcast in blocks of a fixed size. Each row's norm is summed once."""
+    rows, norm_col = (rows, norm_col) if norm_col else (with_norms(rows, embedding_col, "_norm"), "_norm")
+    queries = with_norms(queries, query_col, "_query_norm")
     total = queries.count()
     blocks = max(1, -(-total // QUERIES_AT_ONCE))
     out = None
     for b in range(blocks):
         own = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == b)
-        pairs = rows.select(F.col(id_col), F.col(embedding_col)).crossJoin(F.broadcast(own.select(query_id, query_col)))
-        pairs = pairs.select(query_id, id_col, distance(F.col(embedding_col), F.col(query_col), metric).alias("distance"))
+        pairs = rows.select(F.col(id_col), F.col(embedding_col), F.col(norm_col).alias("_norm")).crossJoin(F.broadcast(own.select(query_id, query_col, "_query_norm")))
+        pairs = pairs.select(query_id, id_col, distance(F.col(embedding_col), F.col(query_col), metric, F.col("_norm"), F.col("_query_norm")).alias("distance"))
         rank = F.row_number().over(Window.partitionBy(query_id).orderBy("distance", id_col))
         part = pairs.withColumn("rank", rank).where(F.col("rank") <= limit)  # Spark keeps partial lists before the shuffle
         out = part if out is None else out.unionByName(part)

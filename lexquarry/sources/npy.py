@@ -1,96 +1,75 @@
-"""Matrices in NPY files as a Spark data source, to read and to write.
+"""Matrices in NPY files, read and written through Spark's file systems.
 
-Reading gives (path, row_idx, embedding), a partition per file; rows are sent in batches of a memory-mapped matrix. Writing makes one
-file per partition, rows in the partition's order.
+Reading gives (path, row_idx, embedding): files come as binary rows, of less than 2 GB each, and leave Python in batches of their rows. Writing
+makes files of a bounded number of rows, in the partition's order; Spark's writer commits them, so a lost task leaves none.
 """
 
 from __future__ import annotations
 
-import glob
-import os
+import io
+import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 BATCH = 1024
+ROWS_PER_FILE = 16_384
 
 
-class File(InputPartition):
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.path = path
+def _parsed(files: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in files:
+        for path, content in zip(batch["path"], batch["content"], strict=True):
+            matrix = np.load(io.BytesIO(content), allow_pickle=False).astype(np.float32, copy=False)
+            for i in range(0, len(matrix), BATCH):
+                part = matrix[i : i + BATCH]
+                yield pd.DataFrame({"path": path, "row_idx": np.arange(i, i + len(part), dtype=np.int64), "embedding": list(part)})
 
 
-@dataclass
-class Written(WriterCommitMessage):
-    path: str
-
-
-class NpyReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.path = options["path"].removeprefix("file://")
-
-    def partitions(self) -> list[File]:
-        found = sorted(glob.glob(f"{self.path}/**/*.npy", recursive=True)) if os.path.isdir(self.path) else [self.path]
-        return [File(p) for p in found]
-
-    def read(self, partition: File) -> Iterator:
-        import pyarrow as pa
-
-        matrix = np.load(partition.path, mmap_mode="r", allow_pickle=False)
-        for i in range(0, len(matrix), BATCH):
-            part = np.asarray(matrix[i : i + BATCH], np.float32)
-            flat = pa.array(part.ravel())
-            offsets = pa.array(np.arange(0, part.size + 1, part.shape[1], dtype=np.int32))
-            columns = [pa.array([partition.path] * len(part)), pa.array(np.arange(i, i + len(part), dtype=np.int64)), pa.ListArray.from_arrays(offsets, flat)]
-            yield pa.RecordBatch.from_arrays(columns, names=["path", "row_idx", "embedding"])
+def read_npy(spark: SparkSession, path: str) -> DataFrame:
+    """All matrices under a path of any file system that Spark reads."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.npy").load(path)
+    return files.select("path", "content").mapInPandas(_parsed, "path string, row_idx bigint, embedding array<float>")
 
 
-class NpyWriter(DataSourceWriter):
-    def __init__(self, options: dict):
-        self.path = options["path"].removeprefix("file://")
+def write_npy(df: DataFrame, path: str, embedding_col: str = "embedding", rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Add files to a folder. Vectors of a partition must have one length; without rows no file is made."""
+    run = uuid.uuid4().hex[:8]
 
-    def write(self, rows: Iterator) -> Written:
+    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        os.makedirs(self.path, exist_ok=True)
-        target = f"{self.path}/part-{TaskContext.get().partitionId():05d}.npy"
-        found = [r["embedding"] for r in rows]
-        if found:
-            np.save(target, np.array(found, np.float32), allow_pickle=False)
-        return Written(target)
-
-
-class Npy(DataSource):
-    """spark.dataSource.register(Npy); spark.read.format("npy").load(folder)."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "npy"
-
-    def schema(self) -> str:
-        return "path string, row_idx bigint, embedding array<float>"
-
-    def reader(self, schema) -> NpyReader:
-        return NpyReader(self.options)
-
-    def writer(self, schema, overwrite: bool) -> NpyWriter:
-        return NpyWriter(self.options)
-
-
-def read_npy(spark: SparkSession, path: str) -> DataFrame:
-    spark.dataSource.register(Npy)
-    return spark.read.format("npy").load(path)
-
-
-def write_npy(df: DataFrame, path: str, embedding_col: str = "embedding") -> None:
-    df.sparkSession.dataSource.register(Npy)
-    empty = F.lit(None).cast("string").alias("path"), F.lit(None).cast("bigint").alias("row_idx")
-    df.select(*empty, F.col(embedding_col).cast("array<float>").alias("embedding")).write.format("npy").mode("append").save(path)
+        partition, n, held = TaskContext.get().partitionId(), 0, []
+
+        def file() -> pd.DataFrame:
+            out = io.BytesIO()
+            np.save(out, np.stack(held).astype(np.float32), allow_pickle=False)
+            return pd.DataFrame({"part": [f"part-{partition:05d}-{n:05d}-{run}"], "content": [out.getvalue()]})
+
+        for batch in batches:
+            for vector in batch["embedding"]:
+                held.append(np.asarray(vector, np.float32))
+                if len(held) == rows_per_file:
+                    yield file()
+                    n, held = n + 1, []
+        if held:
+            yield file()
+
+    spark, staging = df.sparkSession, f"{path.rstrip('/')}/_{run}"
+    made = df.select(F.col(embedding_col).cast("array<float>").alias("embedding")).mapInPandas(blocks, "part string, content binary")
+    # the text sink writes a value's bytes as they are; the line end behind a matrix is not read
+    made.select("part", F.col("content").cast("string").alias("value")).write.partitionBy("part").text(staging)
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(staging).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for folder in fs.listStatus(path_of(staging)):
+        if folder.isDirectory():
+            name = folder.getPath().getName().removeprefix("part=")
+            file = next(s.getPath() for s in fs.listStatus(folder.getPath()) if s.getPath().getName().startswith("part-"))
+            if not fs.rename(file, path_of(f"{path.rstrip('/')}/{name}.npy")):
+                raise OSError(f"could not move {file}")
+    fs.delete(path_of(staging), True)
 
 
 def paired(chunks: DataFrame, vectors: DataFrame, key: str = "article") -> tuple[DataFrame, DataFrame]:
