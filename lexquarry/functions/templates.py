@@ -75,6 +75,17 @@ def templates(text: Column | str) -> Column:
     return scanned.asNondeterministic()(as_column(text))  # so that the planner never copies it into what reads it
 
 
+def templates_each(texts: Column | str) -> Column:
+    """The scanner over an array of texts: an array per text."""
+
+    @F.pandas_udf(f"array<{TEMPLATES}>")
+    def scanned(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([None if own is None else [scan(t) for t in own] for own in batch])
+
+    return scanned.asNondeterministic()(as_column(texts))
+
+
 def parameter(template: Column, name: str, any_case: bool = False) -> Column:
     """The last value of a parameter of that name, trimmed; null if missing or blank."""
     same = (lambda p: F.lower(p["name"]) == name.lower()) if any_case else (lambda p: p["name"] == name)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lexquarry.functions import markup
 from lexquarry.functions.templates import templates
-from lexquarry.operators.citations import citations
+from lexquarry.operators.citations import with_citations as in_place
 from lexquarry.operators.infobox import infobox, library_work, quotes
 
 
@@ -40,9 +40,6 @@ def extract_articles(df: DataFrame, text_col: str = "markup", keep_headers: bool
 
 
 def with_citations(articles: DataFrame, id_col: str, text_col: str = "markup") -> DataFrame:
-    """``articles`` with an ordered array of citations."""
-    found = citations(articles, id_col, text_col)
-    fields = [c for c in found.columns if c not in (id_col, "ref", "pos")]
-    per = found.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("ref", "pos", F.struct(*fields).alias("c")))).alias("cs"))
-    per = per.select(id_col, F.transform("cs", lambda x: x["c"]).alias("citations"))
-    return articles.join(per, id_col, "left")
+    """``articles`` with an ordered array of citations, null where there is none; nothing is shuffled, and identifiers may repeat."""
+    own = F.transform("citations", lambda x: x["c"])
+    return in_place(articles, text_col).withColumn("citations", F.when(F.size("citations") > 0, own))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -357,11 +358,21 @@ def chunk_records(articles: DataFrame, config: ChunkConfig = ChunkConfig(), coun
     )
 
 
+def line_begins(text: Column) -> Column:
+    """Where each line of a text begins; a running sum, which arrays have only at the cost of their square."""
+
+    @F.pandas_udf("array<int>")
+    def begins(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([None if t is None else [0, *accumulate(len(x) + 1 for x in t.split("\n")[:-1])] for t in batch])
+
+    return begins(text)
+
+
 def lines_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, line_no from 1, line, word_count, begin, end): lines with their places in the text."""
     lines = F.split(F.col(text_col), "\n", -1)
-    begins = F.aggregate(F.transform(lines, F.length), F.array(F.lit(0)), lambda s, n: F.concat(s, F.array(F.element_at(s, -1) + n + 1)))
-    rows = df.select(F.col(id_col), F.posexplode(F.arrays_zip(lines.alias("line"), F.slice(begins, F.lit(1), F.size(lines)).alias("begin"))).alias("i", "x"))
+    rows = df.select(F.col(id_col), F.posexplode(F.arrays_zip(lines.alias("line"), line_begins(F.col(text_col)).alias("begin"))).alias("i", "x"))
     return rows.select(id_col, (F.col("i") + 1).alias("line_no"), F.col("x.line").alias("line"), word_count("x.line").alias("word_count"), F.col("x.begin").alias("begin"), (F.col("x.begin") + F.length("x.line")).alias("end"))
 
 

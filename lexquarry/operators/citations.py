@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexquarry.functions.markup import strip_links
-from lexquarry.functions.templates import parameter, templates
-from lexquarry.functions.text import SPACE
+from lexquarry.functions.templates import parameter, templates_each
+from lexquarry.functions.text import SPACE, let
 
 #: Template name -> type of citation.
 TYPES = {
@@ -38,23 +38,30 @@ def citation_of(template: Column, ref_name: Column) -> Column:
     return F.when(kind.isNotNull(), F.struct(kind.alias("type"), *fields, ref_name.alias("ref_name")))
 
 
-def _of_text(text: Column, ref_name: Column) -> Column:
-    return F.filter(F.transform(templates(text), lambda t: citation_of(t, ref_name)), lambda c: c.isNotNull())
-
-
-def citations(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, pos, citation.*) in document order.
+def with_citations(df: DataFrame, text_col: str, out_col: str = "citations") -> DataFrame:
+    """``df`` with an array (ref, pos, c) of its citations in document order; rows stay where they are.
 
     If a text has references only those are read, of each name the first; else the whole text is.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = df.select(F.col(id_col).alias("id"), text.alias("text"), text.rlike(ANY_REF).alias("has_refs"))
-    refs = base.where("has_refs").select("id", F.posexplode(F.regexp_extract_all("text", F.lit(f"({REF_BODY})"), 1)).alias("ref", "m"))
-    refs = refs.select("id", "ref", F.regexp_extract("m", REF_BODY, 1).alias("name"), F.regexp_extract("m", REF_BODY, 2).alias("body"))
-    refs = refs.withColumn("name", F.when(F.col("name") != "", F.col("name")))
-    first = refs.where("name is not null").groupBy("id", "name").agg(F.min("ref").alias("ref"))
-    kept = refs.where("name is null").unionByName(refs.join(first, ["id", "name", "ref"], "left_semi"))
-    from_refs = kept.select("id", "ref", F.posexplode(_of_text(F.col("body"), F.col("name"))).alias("pos", "c"))
-    from_text = base.where("not has_refs and instr(text, '{{') > 0").select("id", F.lit(0).alias("ref"), F.posexplode(_of_text(F.col("text"), F.lit(None).cast("string"))).alias("pos", "c"))
-    both = from_refs.unionByName(from_text)
-    return both.select(F.col("id").alias(id_col), "ref", "pos", "c.*")
+    found = F.regexp_extract_all(text, F.lit(f"({REF_BODY})"), 1)
+    refs = F.transform(found, lambda m, i: F.struct(i.alias("ref"), F.nullif(F.regexp_extract(m, REF_BODY, 1), F.lit("")).alias("name"), F.regexp_extract(m, REF_BODY, 2).alias("body")))
+    # a name's first place in the list of names tells its first reference
+    first = let(refs, lambda rs: let(F.struct(rs.alias("rs"), F.transform(rs, lambda r: r["name"]).alias("names")), lambda x: F.filter(x["rs"], lambda r: r["name"].isNull() | (F.array_position(x["names"], r["name"]) == r["ref"] + 1))))
+    whole = F.struct(F.lit(0).alias("ref"), F.lit(None).cast("string").alias("name"), text.alias("body"))
+    none = F.slice(F.array(whole), 1, 0)
+    kept = F.when(text.rlike(ANY_REF), first).when(F.instr(text, "{{") > 0, F.array(whole)).otherwise(none)
+    out = df.withColumn("_refs", kept).withColumn("_scanned", templates_each(F.transform("_refs", lambda r: r["body"])))
+    made = F.transform(F.arrays_zip("_refs", "_scanned"), lambda x: _of_ref(x["_refs"], x["_scanned"]))
+    return out.withColumn(out_col, F.flatten(made)).drop("_refs", "_scanned")
+
+
+def _of_ref(ref: Column, scanned: Column) -> Column:
+    known = F.filter(F.transform(scanned, lambda t: citation_of(t, ref["name"])), lambda c: c.isNotNull())
+    return F.transform(known, lambda c, i: F.struct(ref["ref"].alias("ref"), i.alias("pos"), c.alias("c")))
+
+
+def citations(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, ref, pos, citation.*) in document order."""
+    rows = with_citations(df.select(F.col(id_col), F.col(text_col).alias("_text")), "_text", "_found")
+    return rows.select(id_col, F.explode("_found").alias("x")).select(id_col, "x.ref", "x.pos", "x.c.*")

@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lexquarry.operators.chunking import TokenCounter, quarter
 
@@ -160,18 +161,30 @@ def preflight(provider: Provider, config: EmbedConfig) -> None:
 
 
 def batch_ids(df: DataFrame, group_col: str, order_col: str, tokens_col: str, max_tokens: int, max_items: int) -> DataFrame:
-    """The number of the token-aware batch of each row, within its group in order; a fold over each group's tokens."""
-    per = df.groupBy(group_col).agg(F.sort_array(F.collect_list(F.struct(order_col, tokens_col))).alias("rows"))
-    start = F.struct(F.lit(-1).alias("b"), F.lit(0).cast("long").alias("room"), F.lit(0).alias("items"), F.array().cast("array<int>").alias("out"))
-
-    def step(s: Column, x: Column) -> Column:
-        n = x[tokens_col].cast("long")
-        big = n > max_tokens
-        new = big | (n > s["room"]) | (s["items"] < 1)
-        b = s["b"] + F.when(new, 1).otherwise(0)
-        room = F.when(big, F.lit(0)).when(new, F.lit(max_tokens) - n).otherwise(s["room"] - n).cast("long")
-        items = F.when(big, F.lit(0)).when(new, F.lit(max_items - 1)).otherwise(s["items"] - 1).cast("int")
-        return F.struct(b.alias("b"), room.alias("room"), items.alias("items"), F.concat(s["out"], F.array(b)).alias("out"))
-
-    ids = F.aggregate("rows", start, step, lambda s: s["out"])
-    return per.select(group_col, F.explode(F.arrays_zip(F.col("rows"), ids.alias("batch"))).alias("x")).select(group_col, F.col(f"x.rows.{order_col}").alias(order_col), F.col(f"x.rows.{tokens_col}").alias(tokens_col), F.col("x.batch").cast("long").alias("batch"))
+    """The number of the token-aware batch of each row, within its group in order; null counts are none.
+
+    Rows stream through in order, so a task holds an Arrow batch, however large the group. One group is one task's, as each batch hangs on the
+    one before: group by article, not by source.
+    """
+    own = df.select(group_col, order_col, tokens_col)
+    names = [*own.columns, "batch"]
+
+    def numbered(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        last, number, room, items = (), -1, 0, 0
+        for part in batches:
+            ids = []
+            for group, n in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), strict=True):
+                if last != (group,):
+                    last, number, room, items = (group,), -1, 0, 0
+                n = n or 0
+                if n > max_tokens or n > room or items < 1:
+                    number += 1
+                    room, items = (0, 0) if n > max_tokens else (max_tokens, max_items)
+                if n <= max_tokens:
+                    room, items = room - n, items - 1
+                ids.append(number)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.int64())], names=names)
+
+    return own.repartition(group_col).sortWithinPartitions(group_col, order_col).mapInArrow(numbered, StructType([*own.schema.fields, StructField("batch", LongType())]))

@@ -49,8 +49,17 @@ def explore(links: DataFrame, start: str, hops: int = 2) -> DataFrame:
     return seen
 
 
-def references(citations: DataFrame) -> DataFrame:
-    """(article, author, year, title) -> ref_id, the number of citations and of articles that cite, and these."""
+def with_ref_id(citations: DataFrame) -> DataFrame:
     key = F.concat_ws("|", F.lower(F.coalesce("author", F.lit(""))), F.coalesce("year", F.lit("")), F.lower(F.coalesce("title", F.lit(""))))
-    own = citations.withColumn("ref_id", F.sha2(key, 256))
-    return own.groupBy("ref_id").agg(F.min("author").alias("author"), F.min("year").alias("year"), F.min("title").alias("title"), F.count("*").alias("n_citations"), F.count_distinct("article").alias("n_articles"), F.array_sort(F.collect_set("article")).alias("citing_articles"))
+    return citations.withColumn("ref_id", F.sha2(key, 256))
+
+
+def references(citations: DataFrame) -> DataFrame:
+    """(article, author, year, title) -> ref_id, the number of citations and of articles that cite."""
+    own = with_ref_id(citations)
+    return own.groupBy("ref_id").agg(F.min("author").alias("author"), F.min("year").alias("year"), F.min("title").alias("title"), F.count("*").alias("n_citations"), F.count_distinct("article").alias("n_articles"))
+
+
+def citing_articles(citations: DataFrame) -> DataFrame:
+    """(ref_id, article), each pair once: a row each, as a reference may be cited by any number of articles."""
+    return with_ref_id(citations).select("ref_id", "article").distinct()

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 STAGES = ("extracted", "chunks", "embeddings")
@@ -62,7 +62,10 @@ def verdict(stages: dict[str, DataFrame], duplicates: DataFrame | None = None) -
 
 def report(stages: dict[str, DataFrame], duplicates: DataFrame | None = None, most: int = 50) -> DataFrame:
     """One row of JSON: counts, the first keys of each kind, the worst ratios."""
-    listed = gaps(stages).groupBy("kind").agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_set("key")), 1, most).alias("keys"))
+    found = gaps(stages)
+    first = found.distinct().withColumn("_rank", F.row_number().over(Window.partitionBy("kind").orderBy("key"))).where(F.col("_rank") <= most)  # each task keeps its first ones
+    keys = first.groupBy("kind").agg(F.array_sort(F.collect_list("key")).alias("keys"))
+    listed = found.groupBy("kind").agg(F.count("*").alias("n")).join(keys, "kind").select("kind", "n", "keys")
     out = verdict(stages, duplicates).select(F.struct("*").alias("summary"))
     out = out.crossJoin(stage_counts(stages).agg(F.array_sort(F.collect_list(F.struct("*"))).alias("stages")))
     out = out.crossJoin(listed.agg(F.array_sort(F.collect_list(F.struct("*"))).alias("gaps")))
