@@ -5,8 +5,12 @@ The tables hold no wiki markup, so markup is made from documents by one expressi
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import atexit
+import tempfile
+import uuid
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +19,9 @@ from lexquarry.functions.text import SPACE
 from lexquarry.operators import chunking, citations, curation, embedding, entities, graph, health, infobox, search, store
 from lexquarry.operators.articles import extract_articles, with_citations
 from lexquarry.operators.filters import where, where_document
+from lexquarry.plans import folds
 from lexquarry.plans.folds import chunks_sql
+from lexquarry.sources import files, npy
 from lexquarry.streaming.ingest import windowed_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -414,6 +420,84 @@ def library_works(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "w.title", "w.author", F.array_join("w.authors", "|").alias("authors"), "w.source_url", "w.translator", F.col("w.remaining_text").alias("remaining"))
 
 
+_CITED_AS = ["Citation", "web citation", "News Citation", "YouTube citation", "Library citation", "VIDEO citation", "textcite", "Other citation"]
+_KINDS = ["book", "web", "news", "youtube", "library", "video", "book"]
+_LISTED = lambda names: "[" + ", ".join(q(n) for n in names) + "]"
+_UNREFERENCED = (
+    "concat('Plain {{', NAME, '|author=[[A|Bo]], [[Cy]]|title= T', doc_id, ' |', CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'web=https://u/1|' END, 'url=https://v|quote=a [[x]] {{b|c=d}}|trans=|city= |page=', "
+    "doc_id % 9, '}} tail ', CASE WHEN doc_id % 4 = 0 THEN '{{citation|title=Second|isbn=[[1]]}}' ELSE '' END, ' {{open|author=lost')"
+)
+
+
+@query(
+    f"""
+    WITH first AS (SELECT doc_id, 0 AS pos, {_LISTED(_KINDS)}[doc_id % 8 + 1] AS type, 'Bo, Cy' AS author, 'T' || doc_id AS title, CASE WHEN doc_id % 3 = 0 THEN 'https://v' ELSE 'https://u/1' END AS url,
+           'a x {{{{b|c=d}}}}' AS quote, NULL::VARCHAR AS translation_title, (doc_id % 9)::VARCHAR AS page, NULL::VARCHAR AS isbn FROM documents WHERE doc_id % 8 < 7),
+    second AS (SELECT doc_id, CASE WHEN doc_id % 8 < 7 THEN 1 ELSE 0 END AS pos, 'book' AS type, NULL AS author, 'Second' AS title, NULL AS url, NULL AS quote, NULL AS translation_title, NULL AS page, '1' AS isbn FROM documents WHERE doc_id % 4 = 0)
+    SELECT *, NULL::VARCHAR AS ref_name FROM first UNION ALL SELECT *, NULL FROM second
+    """
+)
+def citations_whole_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts without references: all templates count, known ones in any case, unclosed ones not."""
+    name = f"element_at(array({', '.join(q(n) for n in _CITED_AS)}), cast(doc_id % 8 + 1 as int))"
+    rows = documents(spark, folder).select("doc_id", F.expr(_UNREFERENCED.replace("NAME", name)).alias("m"))
+    return citations.citations(rows, "doc_id", "m").select("doc_id", "pos", "type", "author", "title", "url", "quote", "translation_title", "page", "isbn", "ref_name")
+
+
+_REFERENCED = (
+    "concat('<ref>{{citation|title=One}} and {{Web citation|title=Two|url=u}}</ref> {{textcite|title=outside}} <ref name=\"n', doc_id % 2, '\">{{news citation|title=Three}}</ref>', "
+    "'<ref name=n0>{{citation|title=Four}}</ref><ref name=\"n1\">{{other|title=no}}</ref><REF>no template</REF><ref>{{citation|title=Five}}{{citation|title=</ref>')"
+)
+
+
+@query(
+    """
+    SELECT doc_id, unnest([0, 0, 1, 5]) AS ref, unnest([0, 1, 0, 0]) AS pos, unnest(['One', 'Two', 'Three', 'Five']) AS title, unnest(['book', 'web', 'news', 'book']) AS type, unnest([NULL, NULL, 'n0', NULL]) AS ref_name FROM documents WHERE doc_id % 2 = 0
+    UNION ALL
+    SELECT doc_id, unnest([0, 0, 1, 2, 5]), unnest([0, 1, 0, 0, 0]), unnest(['One', 'Two', 'Three', 'Four', 'Five']), unnest(['book', 'web', 'news', 'book', 'book']), unnest([NULL, NULL, 'n1', 'n0', NULL]) FROM documents WHERE doc_id % 2 = 1
+    """
+)
+def citations_in_references(spark: SparkSession, folder: str) -> DataFrame:
+    """References with several templates, repeated names, none and broken ones; templates outside them don't count."""
+    rows = documents(spark, folder).select("doc_id", F.expr(_REFERENCED).alias("m"))
+    return citations.citations(rows, "doc_id", "m").select("doc_id", "ref", "pos", "title", "type", "ref_name")
+
+
+_BOX_NAMES = [n for t in infobox.TYPES for n in (t, t.replace("_", " ").title())] + ["spaceship", "book review"]
+_BOX_TYPES = [t for t in infobox.TYPES for _ in range(2)] + [None, None]
+
+
+@query(
+    f"""
+    WITH typed AS (SELECT doc_id, doc_id % {len(_BOX_NAMES)} AS k, [{", ".join("NULL" if t is None else q(t) for t in _BOX_TYPES)}][doc_id % {len(_BOX_NAMES)} + 1] AS type FROM documents)
+    SELECT doc_id, type AS detected, type, CASE WHEN type IS NOT NULL THEN '2nd' END AS a, CASE WHEN type IS NOT NULL THEN 'x|' || doc_id || '|L' END AS b, CASE WHEN type IS NOT NULL THEN true END AS b_is_list,
+           CASE WHEN type IS NOT NULL THEN 'M|L' || doc_id || '|L' END AS links, CASE WHEN type IS NOT NULL THEN 'before {{{{x|y}}}}  after {{{{Infobox book|a=later}}}}' END AS remaining
+    FROM typed
+    """
+)
+def infobox_all_types(spark: SparkSession, folder: str) -> DataFrame:
+    """All types, with underscores or blanks, unknown ones, repeated fields, lists, nested templates and a second box."""
+    from lexquarry.functions.templates import templates
+
+    name = f"element_at(array({', '.join(q(n) for n in _BOX_NAMES)}), cast(doc_id % {len(_BOX_NAMES)} + 1 as int))"
+    made = F.expr(f"concat('before {{{{x|y}}}} {{{{Infobox ', {name}, '|a=[[M]]|b=[[L', doc_id, '|x]]<br/>', doc_id, '<BR>[[L]]<br>|c= |a=2nd|d={{{{e|f=g}}}}}}}} after {{{{Infobox book|a=later}}}}')")
+    rows = documents(spark, folder).select("doc_id", made.alias("m")).withColumn("t", templates("m")).withColumn("box", infobox.infobox(F.col("m"), F.col("t"))).withColumn("f", infobox.field_map(F.col("box")))
+    b = F.get(F.filter("box.fields", lambda f: f["name"] == "b"), F.lit(0))
+    return rows.select(
+        "doc_id", infobox.detect_type(F.col("m")).alias("detected"), "box.type", F.array_join(F.col("f")["a"], "|").alias("a"), F.array_join(F.col("f")["b"], "|").alias("b"), b["value"]["is_list"].alias("b_is_list"),
+        F.array_join("box.extracted_links", "|").alias("links"), F.col("box.remaining_text").alias("remaining"),
+    )
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'A ' || lang || '|B' WHEN doc_id % 3 = 1 THEN lang || '|b' ELSE '' END AS categories FROM documents")
+def category_fallback(spark: SparkSession, folder: str) -> DataFrame:
+    """Categories in another case count only if there is none as it should be."""
+    made = F.expr("concat('[[category: ', lang, ' |key]] text [[CATEGORY:b]]', '')")
+    good = F.expr("concat('[[Category:A ', lang, ']] [[category:low]] [[Category:B|k]]')")
+    rows = documents(spark, folder).select("doc_id", F.when(F.col("doc_id") % 3 == 0, good).when(F.col("doc_id") % 3 == 1, made).otherwise("[[Other:x]]").alias("m"))
+    return rows.select("doc_id", F.array_join(markup.categories("m"), "|").alias("categories"))
+
+
 # -- chunks
 
 _LINES = "lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents)"
@@ -517,6 +601,43 @@ def chunk_fact_table(spark: SparkSession, folder: str) -> DataFrame:
     return out.withColumns({**lists, "word_count": F.col("word_count").cast("long")})
 
 
+def _per_text(returns: str, f: Callable[[str], object]) -> Callable[[Column], Column]:
+    """A function of the operators in Python, over a column of texts."""
+
+    @F.pandas_udf(returns)
+    def applied(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([f(t) for t in batch])
+
+    return lambda c: applied(F.coalesce(c, F.lit("")))
+
+
+_CUT = "substr(text, 1, least(length(text), 200))"
+
+
+def _after_last(*marks: str) -> str:
+    return "greatest(" + ", ".join(f"CASE WHEN contains({_CUT}, {q(m)}) THEN {folds._last(_CUT, m)} + {len(m)} ELSE 0 END" for m in marks) + ", 0)"
+
+
+@query(
+    f"""
+    WITH cut AS (SELECT doc_id, text, {_after_last(". ", "! ", "? ")} AS a, {_after_last("; ", ", ", ": ")} AS b, {_after_last(" ")} AS c, least(length(text), 200) AS e FROM documents)
+    SELECT doc_id, ceil(length(text) / 4)::BIGINT AS n_tokens, greatest(1, e)::BIGINT AS longest, (CASE WHEN e >= length(text) THEN length(text) WHEN a > 1 THEN a WHEN b > 1 THEN b WHEN c > 1 THEN c ELSE e END)::BIGINT AS split_at FROM cut
+    """
+)
+def split_positions(spark: SparkSession, folder: str) -> DataFrame:
+    count = _per_text("bigint", chunking.quarter)(F.col("text"))
+    longest = _per_text("bigint", lambda t: chunking.longest_prefix(t, 50, chunking.quarter))(F.col("text"))
+    split = _per_text("bigint", lambda t: chunking.split_position(t, 50, chunking.quarter))(F.col("text"))
+    return documents(spark, folder).select("doc_id", count.alias("n_tokens"), longest.alias("longest"), split.alias("split_at"))
+
+
+@query(f"SELECT doc_id, {folds._line_ends('substr(text, 1, length(text) // 3)')}::BIGINT AS first_line, {folds._line_ends('substr(text, 1, 2 * length(text) // 3)')}::BIGINT AS last_line FROM documents WHERE length(text) > 3")
+def segment_lines(spark: SparkSession, folder: str) -> DataFrame:
+    found = _per_text("array<bigint>", lambda t: list(chunking.lines_of(len(t) // 3, 2 * len(t) // 3, [len(x) for x in t.split("\n")])))(F.col("text"))
+    return documents(spark, folder).where("length(text) > 3").select("doc_id", found.alias("x")).select("doc_id", F.col("x")[0].alias("first_line"), F.col("x")[1].alias("last_line"))
+
+
 # -- embeddings
 
 
@@ -525,27 +646,45 @@ def embed_hashing(spark: SparkSession, folder: str) -> DataFrame:
     return embedding.embed_chunks(documents(spark, folder).select("doc_id", "text"), config=embedding.EmbedConfig(dimensions=64)).drop("text")
 
 
-@query("SELECT doc_id, source, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 32 AS batch FROM documents")
+def _batched(spark: SparkSession, folder: str, cut: Callable[[list[str]], list[list[str]]]) -> DataFrame:
+    """The batch of each document in its list of texts: per source, the documents of 100 identifiers."""
+
+    @F.pandas_udf("array<bigint>")
+    def numbers(lists: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in lists:
+            yield pd.Series([[n for n, own in enumerate(cut(list(texts))) for _ in own] for texts in batch])
+
+    rows = documents(spark, folder).groupBy("source", F.floor(F.col("doc_id") / 100).alias("part")).agg(F.sort_array(F.collect_list(F.struct("doc_id", "text"))).alias("rows"))
+    rows = rows.withColumn("batches", numbers(F.transform("rows", lambda r: r["text"])))
+    return rows.select("source", F.explode(F.arrays_zip(F.col("rows").alias("r"), F.col("batches").alias("batch"))).alias("x")).select("source", "x.r.doc_id", "x.batch")
+
+
+@query("SELECT doc_id, source, (row_number() OVER (PARTITION BY source, doc_id // 100 ORDER BY doc_id) - 1) // 7 AS batch FROM documents")
 def batches_fixed(spark: SparkSession, folder: str) -> DataFrame:
-    number = F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1
-    return documents(spark, folder).select("doc_id", "source", F.floor(number / 32).cast("long").alias("batch"))
+    return _batched(spark, folder, lambda texts: embedding.fixed_batches(texts, 7))
 
 
-@query(
-    """
-    WITH RECURSIVE numbered AS (SELECT source, doc_id, ceil(length(text) / 4)::BIGINT AS t, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents),
+def _token_batches_sql(group: str, tokens: int, items: int) -> str:
+    return f"""
+    WITH RECURSIVE numbered AS (SELECT source, doc_id, {group} AS part, ceil(length(text) / 4)::BIGINT AS t, row_number() OVER (PARTITION BY source, {group} ORDER BY doc_id) AS r FROM documents),
     fold AS (
-        SELECT source, doc_id, r, t, 0::BIGINT AS batch, CASE WHEN t > 4000 THEN 0 ELSE 4000 - t END AS room, CASE WHEN t > 4000 THEN 0 ELSE 31 END AS items FROM numbered WHERE r = 1
+        SELECT source, part, doc_id, r, t, 0::BIGINT AS batch, CASE WHEN t > {tokens} THEN 0 ELSE {tokens} - t END AS room, CASE WHEN t > {tokens} THEN 0 ELSE {items - 1} END AS items FROM numbered WHERE r = 1
         UNION ALL
-        SELECT n.source, n.doc_id, n.r, n.t, f.batch + CASE WHEN n.t > f.room OR f.items < 1 THEN 1 ELSE 0 END,
-               CASE WHEN n.t > 4000 THEN 0 WHEN n.t > f.room OR f.items < 1 THEN 4000 - n.t ELSE f.room - n.t END,
-               CASE WHEN n.t > 4000 THEN 0 WHEN n.t > f.room OR f.items < 1 THEN 31 ELSE f.items - 1 END
-        FROM fold f JOIN numbered n ON n.source = f.source AND n.r = f.r + 1
+        SELECT n.source, n.part, n.doc_id, n.r, n.t, f.batch + CASE WHEN n.t > f.room OR f.items < 1 THEN 1 ELSE 0 END,
+               CASE WHEN n.t > {tokens} THEN 0 WHEN n.t > f.room OR f.items < 1 THEN {tokens} - n.t ELSE f.room - n.t END,
+               CASE WHEN n.t > {tokens} THEN 0 WHEN n.t > f.room OR f.items < 1 THEN {items - 1} ELSE f.items - 1 END
+        FROM fold f JOIN numbered n ON n.source = f.source AND n.part = f.part AND n.r = f.r + 1
     )
-    SELECT source, doc_id, t AS tokens, batch FROM fold
     """
-)
+
+
+@query(_token_batches_sql("doc_id // 100", 2000, 4) + "SELECT source, doc_id, batch FROM fold")
 def batches_token_aware(spark: SparkSession, folder: str) -> DataFrame:
+    return _batched(spark, folder, lambda texts: embedding.token_batches(texts, 2000, 4))
+
+
+@query(_token_batches_sql("0", 4000, 32) + "SELECT source, doc_id, t AS tokens, batch FROM fold")
+def batch_numbers(spark: SparkSession, folder: str) -> DataFrame:
     rows = documents(spark, folder).select("source", "doc_id", F.ceil(F.length("text") / 4).cast("long").alias("tokens"))
     return embedding.batch_ids(rows, "source", "doc_id", "tokens", 4000, 32)
 
@@ -846,17 +985,179 @@ def graph_explore(spark: SparkSession, folder: str) -> DataFrame:
     return graph.explore(_edges(spark, folder), "d1")
 
 
+_CITED = "WITH c AS (SELECT doc_id AS article, 'B' || doc_id % 5 AS author, 'T' || doc_id % 50 AS title, (1900 + doc_id % 100)::VARCHAR AS year FROM documents), r AS (SELECT *, sha256(concat_ws('|', lower(author), year, lower(title))) AS ref_id FROM c)"
+
+
+@query(f"{_CITED} SELECT ref_id, min(author) AS author, min(year) AS year, min(title) AS title, count(*) AS n_citations, count(DISTINCT article) AS n_articles FROM r GROUP BY 1")
+def references_table(spark: SparkSession, folder: str) -> DataFrame:
+    return graph.references(citations.citations(wiki(spark, folder), "doc_id", "m").withColumnRenamed("doc_id", "article"))
+
+
+@query(f"{_CITED} SELECT DISTINCT ref_id, article FROM r")
+def citing_articles(spark: SparkSession, folder: str) -> DataFrame:
+    return graph.citing_articles(citations.citations(wiki(spark, folder), "doc_id", "m").withColumnRenamed("doc_id", "article"))
+
+
+# -- files and collections, written to the shared folder and read back
+
+
+def _scratch(spark: SparkSession) -> str:
+    """A new folder that driver and executors share; a local session without one gets a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="lexquarry-")
+    path = f"{folder.rstrip('/')}/queries-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # the session may have ended already
+        pass
+
+
+@query("SELECT 'c' || doc_id AS chunk_id, text, source AS article_title, lang AS namespace, CASE WHEN doc_id % 2 = 0 THEN source END AS section, (doc_id % 100)::INTEGER AS chunk_index, lang || '|' || source AS categories, n_chars > 500 AS is_stub FROM documents")
+def chunk_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunk files: one JSON object a line, nulls and lists kept."""
+    path = _scratch(spark)
+    rows = documents(spark, folder).select(F.expr("'c' || doc_id").alias("chunk_id"), "text", F.col("source").alias("article_title"), F.col("lang").alias("namespace"), F.expr("case when doc_id % 2 = 0 then source end").alias("section"),
+        F.expr("cast(doc_id % 100 as int)").alias("chunk_index"), F.array("lang", "source").alias("categories"), F.expr("n_chars > 500").alias("is_stub"))
+    files.write_chunks(rows, path)
+    return files.read_chunks(spark, path).select("chunk_id", "text", "article_title", "namespace", "section", "chunk_index", F.array_join("categories", "|").alias("categories"), "is_stub")
+
+
+@query("SELECT 'd' || doc_id AS title, lang AS namespace, text AS markup, 'd ' || doc_id AS flat_title FROM documents WHERE lang IN ('en', 'de')")
+def article_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean texts and articles under folders of namespaces, read as tables."""
+    path = _scratch(spark)
+    rows = documents(spark, folder).select(F.col("lang").alias("namespace"), F.expr("'d' || doc_id").alias("title"), F.col("text").alias("clean_text"))
+    files.write_texts(rows, f"{path}/texts")
+    files.write_articles(rows, f"{path}/articles")
+    back = spark.read.schema("title string, clean_text string, namespace string").json(f"{path}/texts").where("namespace in ('en', 'de')").select("title", "namespace", F.col("clean_text").alias("markup"))
+    flat = spark.read.parquet(f"{path}/articles").select("title", files.title_of(F.expr("concat('/x/', replace(title, 'd', 'd_'), '.txt')")).alias("flat_title"))
+    return back.join(flat, "title")
+
+
+@query("SELECT vec_id, round(list_sum(list_transform(embedding, lambda x, i: (x::DOUBLE * i))), 6) AS digest, (row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1) AS row_idx, label AS article FROM embeddings")
+def npy_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors through NPY files of a folder per article, paired with their rows again."""
+    path, rows = _scratch(spark), read(spark, folder, "embeddings")
+    numbered = rows.withColumn("row_idx", (F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1).cast("long"))
+    for article in [r.label for r in rows.select("label").distinct().limit(100).collect()]:  # the table has ten labels
+        npy.write_npy(numbered.where(F.col("label") == article).repartition(1).sortWithinPartitions("row_idx"), f"{path}/{article}", rows_per_file=1 << 30)
+    vectors = npy.read_npy(spark, path).select(F.element_at(F.split("path", "/"), -2).cast("int").alias("article"), "row_idx", "embedding")
+    good, _ = npy.paired(numbered.select(F.col("label").alias("article"), "row_idx", "vec_id"), vectors)
+    digest = F.aggregate(F.transform("embedding", lambda x, i: x.cast("double") * (i + 1)), F.lit(0.0), lambda s, x: s + x)
+    return good.select("vec_id", F.round(digest, 6).alias("digest"), "row_idx", F.col("article").cast(rows.schema["label"].dataType).alias("article"))
+
+
 @query(
     """
-    WITH c AS (SELECT doc_id AS article, 'B' || doc_id % 5 AS author, 'T' || doc_id % 50 AS title, (1900 + doc_id % 100)::VARCHAR AS year FROM documents)
-    SELECT sha256(concat_ws('|', lower(author), year, lower(title))) AS ref_id, min(author) AS author, min(year) AS year, min(title) AS title, count(*) AS n_citations, count(DISTINCT article) AS n_articles,
-           array_to_string(list_sort(list(DISTINCT article)), '|') AS articles FROM c GROUP BY 1
+    WITH first AS (SELECT doc_id, quality::BIGINT AS value FROM labels), added AS (SELECT * FROM first UNION ALL SELECT doc_id, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)),
+    changed AS (SELECT doc_id, CASE WHEN doc_id % 10 = 3 THEN -doc_id ELSE value END AS value FROM added)
+    SELECT doc_id, value FROM changed WHERE doc_id % 7 <> 0 AND NOT (value BETWEEN 300 AND 400)
     """
 )
-def references_table(spark: SparkSession, folder: str) -> DataFrame:
-    found = citations.citations(wiki(spark, folder), "doc_id", "m").withColumnRenamed("doc_id", "article")
-    out = graph.references(found)
-    return out.withColumn("articles", F.array_join(F.transform("citing_articles", lambda x: x.cast("string")), "|")).drop("citing_articles")
+def collection_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored collection after additions, replacements, deletions by identifier and by condition, compaction and a clearing of old versions."""
+    old, new = _versions(spark, folder)
+    c = store.Collection(spark, _scratch(spark), "docs", "doc_id", most_covering=2)
+    c.add(old)
+    c.add(new)
+    c.add(new.where("doc_id % 10 = 3").withColumn("value", -F.col("doc_id")), mode="upsert")
+    c.delete_rows(new.where("doc_id % 7 = 0"))
+    c.delete_rows(None, {"value": {"$gte": 300, "$lte": 400}})
+    c.vacuum()
+    return c.rows()
+
+
+@query(
+    """
+    WITH t AS (SELECT doc_id, lang AS namespace, source AS title FROM documents), m AS (SELECT DISTINCT lang AS namespace, source AS title, lang || source AS note FROM documents WHERE lang IN ('en', 'de') AND source <> 'src0'),
+    least AS (SELECT title, min_by(note, namespace) AS note FROM m GROUP BY title)
+    SELECT doc_id, t.namespace, t.title, coalesce(m.note, least.note) AS note, coalesce(m.note, least.note) IS NULL AS missing_metadata, m.note IS NOT NULL OR least.note IS NOT NULL AS is_stub
+    FROM t LEFT JOIN m ON t.namespace = m.namespace AND t.title = m.title LEFT JOIN least ON t.title = least.title
+    """
+)
+def metadata_of_texts(spark: SparkSession, folder: str) -> DataFrame:
+    rows = documents(spark, folder).select("doc_id", F.col("lang").alias("namespace"), F.col("source").alias("title"))
+    meta = rows.where("namespace in ('en', 'de') and title <> 'src0'").select("namespace", "title", F.concat("namespace", "title").alias("note"), F.lit(True).alias("is_stub")).distinct()
+    return files.with_metadata(rows, meta).select("doc_id", "namespace", "title", "note", "missing_metadata", "is_stub")
+
+
+@query("SELECT doc_id // 100 || '.txt' AS path, unnest(range(1, len(string_split(text, chr(10))) + 1))::INTEGER AS line_no, unnest(string_split(text, chr(10))) AS value FROM documents WHERE doc_id % 100 = 0")
+def file_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of files with their numbers."""
+    path = _scratch(spark)
+    documents(spark, folder).where("doc_id % 100 = 0").select(F.concat(F.floor(F.col("doc_id") / 100).cast("string"), F.lit(".txt")).alias("f"), "text").write.partitionBy("f").text(path)
+    return files.json_lines(spark, path).select(F.regexp_extract("path", "/f=([^/]+)/", 1).alias("path"), "line_no", "value")
+
+
+_DIGEST = "string_agg({}, chr(10) ORDER BY {})"
+
+
+@query(
+    f"""
+    WITH lines AS (SELECT lang AS category, source AS author, doc_id AS original_line, sha256('{{"qa_id":"q' || doc_id || '","instruction":' || to_json(lang || ' "x"') || ',"response":' || to_json('r/' || n_chars) || '}}') AS d FROM documents),
+    blocks AS (SELECT category, author, original_line // 10000 AS block, count(*) AS n, sha256({_DIGEST.format("d", "original_line")}) AS d FROM lines GROUP BY 1, 2, 3)
+    SELECT category || '/' || author || '.jsonl' AS filename, sum(n)::BIGINT AS record_count, sha256({_DIGEST.format("d", "block")}) AS sha256 FROM blocks GROUP BY category, author
+    """
+)
+def manifest_digests(spark: SparkSession, folder: str) -> DataFrame:
+    rows = documents(spark, folder).select(F.col("lang").alias("category"), F.col("source").alias("author"), F.col("doc_id").alias("original_line"), F.expr("'q' || doc_id").alias("qa_id"), F.expr("lang || ' \"x\"'").alias("instruction"), F.expr("'r/' || n_chars").alias("response"))
+    return curation.manifest(rows)
+
+
+@query(
+    f"""
+    WITH lines AS (SELECT (doc_id % 2) AS set, lang AS path, doc_id AS line_no, sha256(text) AS d FROM documents),
+    blocks AS (SELECT set, path, line_no // 10000 AS block, count(*) AS n, sha256({_DIGEST.format("d", "line_no")}) AS d FROM lines GROUP BY 1, 2, 3)
+    SELECT sum(n)::BIGINT AS n_lines, sha256({_DIGEST.format("d", "set, path, block")}) AS sha256 FROM blocks
+    """
+)
+def collection_digest(spark: SparkSession, folder: str) -> DataFrame:
+    """Sources in the order of their paths, then synthetic files."""
+    rows = documents(spark, folder).select("doc_id", F.col("lang").alias("path"), F.col("doc_id").alias("line_no"), F.col("text").alias("value"))
+    return curation.collection_digest(curation.ordered_sources(rows.where("doc_id % 2 = 0"), rows.where("doc_id % 2 = 1")))
+
+
+# -- what readers see
+
+
+@query(
+    """
+    WITH found AS (SELECT *, doc_id / 7.0::DOUBLE / (SELECT max(doc_id) + 1 FROM documents) AS d FROM documents ORDER BY d, doc_id LIMIT 20)
+    SELECT string_agg('**' || source || '** (' || lang || ', §' || CASE WHEN doc_id % 2 = 0 THEN '(none)' ELSE 'S' END || ', lines ?) [score: ' || printf('%.2f', 1 - d) || ']:' || chr(10) || '> ' || text, chr(10) || chr(10) ORDER BY d, doc_id) AS page FROM found
+    """
+)
+def results_page(spark: SparkSession, folder: str) -> DataFrame:
+    total = documents(spark, folder).agg(F.max("doc_id") + 1).first()[0]
+    rows = documents(spark, folder).select("doc_id", F.col("source").alias("article_title"), F.col("lang").alias("namespace"), F.expr("case when doc_id % 2 = 1 then 'S' end").alias("section"), "text", (F.col("doc_id") / F.lit(7.0) / F.lit(total)).alias("distance"))
+    return spark.createDataFrame([(search.rendered(rows.orderBy("distance", "doc_id").limit(search.MOST_LIMIT)),)], "page string")
+
+
+@query(f"WITH {_LINES} SELECT string_agg(line, chr(10) || chr(10) ORDER BY line_no) AS article, 'Article not found: Nothing (Main)' AS missing FROM lines WHERE doc_id = 7")
+def article_page(spark: SparkSession, folder: str) -> DataFrame:
+    rows = chunking.lines_table(documents(spark, folder), "doc_id", "text").select(F.expr("'Doc ' || doc_id").alias("article_title"), F.lit("Main").alias("namespace"), F.col("line").alias("text"), F.col("line_no").alias("chunk_index"))
+    return spark.createDataFrame([(search.article_text(rows, "Doc 7"), search.article_text(rows, "Nothing"))], "article string, missing string")
+
+
+@query(f"WITH {_STAGES}, {_GAPS}, ranked AS (SELECT kind, key, row_number() OVER (PARTITION BY kind ORDER BY key) AS r, count(*) OVER (PARTITION BY kind) AS n FROM (SELECT DISTINCT kind, key FROM gaps)) SELECT kind, any_value(n) AS n, string_agg(key, '|' ORDER BY key) AS keys FROM ranked WHERE r <= 50 GROUP BY kind")
+def health_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The gaps that the report lists."""
+    report = health.report(_stages(spark, folder)).select(F.from_json("report", "gaps array<struct<kind:string,n:bigint,keys:array<string>>>").alias("r"))
+    return report.select(F.explode("r.gaps").alias("g")).select("g.kind", "g.n", F.array_join("g.keys", "|").alias("keys"))
+
+
+@query("SELECT DISTINCT unnest(CASE WHEN lang IN ('en', 'de') THEN [source || ' ' || doc_id % 50, lang || ':' || source || ' ' || doc_id % 50] ELSE [source || ' ' || doc_id % 50] END) AS title FROM documents")
+def titles_known(spark: SparkSession, folder: str) -> DataFrame:
+    rows = documents(spark, folder).select(F.expr("source || ' ' || doc_id % 50").alias("t"), "lang")
+    return entities.titles(rows, "t", "lang", ("en", "de"))
 
 
 # -- windows over events, as the streaming form computes them

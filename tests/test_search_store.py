@@ -188,3 +188,34 @@ def test_graph(spark):
     assert {r.node: r.hops for r in graph.explore(links, "d", 3).collect()} == {"d": 0, "b": 1, "c": 2}
     cats = spark.createDataFrame([(1, "x"), (1, "y"), (2, "y"), (2, "x"), (2, "z"), (2, "z")], "article int, category string")
     assert {(r.a, r.b): r.n for r in graph.cooccurrence(cats).collect()} == {("x", "y"): 2, ("x", "z"): 1, ("y", "z"): 1}
+
+
+def test_a_change_writes_only_what_it_changes(spark, rows, tmp_path):
+    c = store.Collection(spark, str(tmp_path), most_covering=2)
+    c.add(rows.limit(6))
+    c.add(rows, mode="upsert")
+    parts = c._latest()
+    assert [p["covers"] for p in parts] == [False, True] and c.count() == 10
+    c.add(rows)  # all there: an empty part, which covers nothing
+    assert c._read([c._latest()[-1]["name"]]).count() == 0
+    for i in range(2):
+        c.delete_rows(None, {"chunk_index": i})
+    assert len(c._latest()) == 1 and c.count() == 8  # compacted
+    assert len(list((tmp_path / "chunks" / "versions").glob("*.json"))) == 6
+    c.vacuum()
+    assert len(list((tmp_path / "chunks" / "parts").iterdir())) == 1 and c.count() == 8
+
+
+def test_npy_files_are_bounded(spark, tmp_path):
+    df = spark.range(10).select(F.array(F.col("id").cast("float"), F.lit(1.0)).alias("embedding")).coalesce(1)
+    write_npy(df, str(tmp_path / "v"), rows_per_file=4)
+    write_npy(df.limit(0), str(tmp_path / "v"))
+    found = sorted((tmp_path / "v").glob("*.npy"))
+    assert [np.load(f).shape for f in found] == [(4, 2), (4, 2), (2, 2)]
+    assert sorted(r.embedding[0] for r in read_npy(spark, str(tmp_path / "v")).collect()) == list(map(float, range(10)))
+
+
+def test_batch_numbers_stream_over_groups(spark):
+    df = spark.createDataFrame([("a", i, t) for i, t in enumerate([5, 5, 20, 1, None])] + [("b", 0, 1), (None, 0, 3)], "g string, o int, t long")
+    got = sorted((r.g or "", r.o, r.batch) for r in e.batch_ids(df, "g", "o", "t", 10, 2).collect())
+    assert got == [("", 0, 0), ("a", 0, 0), ("a", 1, 0), ("a", 2, 1), ("a", 3, 2), ("a", 4, 2), ("b", 0, 0)]
