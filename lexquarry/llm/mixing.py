@@ -107,7 +107,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The pieces of the mix, and one row per document.
 
     Pieces (source, slot, rank, id, from_word, n_words): read in the order of (slot, from_word of the
-    stream) they are the mix. Documents: id, source, size, source_size, target, taken.
+    stream) they are the mix. Documents: id, source, size, source_size, target, taken, first_slot (null if nothing
+    is taken) and pieces, an array (slot, from_word, n_words) in the schedule's order; rows alike in id, source and
+    size have one list in common.
     """
     base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"), count_words(F.col(f"`{text_col}`")).alias("size"))
     shuffle = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("id").cast("string"), F.lit(""))))
@@ -141,12 +143,14 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pieces = blocks.alias("b").join(slots.alias("s"), F.expr("b.source <=> s.source and b.rank = s.rank")).select("b.source", "s.slot", "b.rank", "b.id", "b.size", "b.from_word", "b.n_words")
 
     # a row's pieces are found again by (id, source, size); equal rows share their sum evenly, the first ones getting the rest
-    taken = pieces.groupBy("id", "source", "size").agg(F.sum("n_words").alias("words"))
+    taken = pieces.groupBy("id", "source", "size").agg(
+        F.sum("n_words").alias("words"), F.min("slot").alias("first_slot"), F.array_sort(F.collect_list(F.struct("slot", "from_word", "n_words"))).alias("pieces")
+    )
     alike = Window.partitionBy("id", "source", "size")
     whole = base.select("id", "source", "size", (F.row_number().over(alike.orderBy("mix")) - 1).alias("nth"), F.count(F.lit(1)).over(alike).alias("alike"))
     whole = whole.alias("d").join(taken.alias("k"), F.expr("d.id <=> k.id and d.source <=> k.source and d.size = k.size"), "left")
     share = F.floor(F.col("words") / F.col("alike")) + F.when(F.col("nth") < F.col("words") % F.col("alike"), 1).otherwise(0)
-    whole = whole.select("d.id", "d.source", "d.size", F.coalesce(share, F.lit(0)).cast("long").alias("taken"))
+    whole = whole.select("d.id", "d.source", "d.size", F.coalesce(share, F.lit(0)).cast("long").alias("taken"), "k.first_slot", F.coalesce("k.pieces", F.array().cast("array<struct<slot:bigint,from_word:bigint,n_words:bigint>>")).alias("pieces"))
     out = whole.alias("w").join(targets.alias("t"), F.expr("w.source <=> t.source"))
-    out = out.select(F.col("w.id").alias(id_col), F.col("w.source").alias(source_col), "w.size", "t.source_size", "t.target", "w.taken")
+    out = out.select(F.col("w.id").alias(id_col), F.col("w.source").alias(source_col), "w.size", "t.source_size", "t.target", "w.taken", "w.first_slot", "w.pieces")
     return pieces, out

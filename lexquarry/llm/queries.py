@@ -70,7 +70,7 @@ def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     from lexquarry.llm.mixing import mix_sources
 
     _, documents = mix_sources(read(spark, folder, "documents"), weights=(5, 2, 1), percent=150, repeat=2)
-    return documents.select("doc_id", "size", "source_size", "target", "taken")
+    return documents.select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def op9_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
@@ -139,13 +139,37 @@ ORACLE_SQL: dict[str, str] = {
                         ELSE ((all_words * 150 - (SELECT c FROM level) * 100) * weight)::DOUBLE / ((SELECT w FROM level) * 100)::DOUBLE END AS target
             FROM stopped
         ), laid AS (
-            SELECT s.doc_id, s.size, t.source_size, t.target, floor(t.target)::BIGINT AS quota,
+            SELECT s.doc_id, s.source, s.size, t.source_size, t.target, floor(t.target)::BIGINT AS quota,
                    (sum(s.size) OVER (PARTITION BY s.source ORDER BY s.mix, s.doc_id) - s.size)::BIGINT AS begins
             FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+        ), quotas AS (
+            SELECT source, floor(target)::BIGINT AS quota, ((floor(target)::BIGINT + 127) // 128) AS blocks,
+                   (sum(floor(target)::BIGINT) OVER ())::HUGEINT AS total, (sum(floor(target)::BIGINT) OVER (ORDER BY source ASC NULLS LAST))::HUGEINT AS upto
+            FROM targets
+        ), bits AS (
+            SELECT CASE WHEN sum(blocks) <= 1 THEN 0 ELSE len(bin(sum(blocks)::BIGINT - 1)) END::INT AS b FROM quotas
+        ), shares AS (
+            SELECT source, blocks, ((upto - quota) * (1 << b) + total - 1) // total AS lo, (upto * (1 << b) + total - 1) // total AS hi, b FROM quotas, bits WHERE quota > 0
+        ), points AS (
+            SELECT source, blocks, b, unnest(range(lo::BIGINT, hi::BIGINT)) AS point FROM shares
+        ), slots AS (
+            SELECT source, blocks, coalesce(list_sum(list_transform(range(0, b), lambda i: ((point >> i) & 1) << (b - 1 - i))), 0)::BIGINT AS slot FROM points
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS rank FROM slots
+        ), schedule AS (
+            SELECT source, rank, slot FROM ranked WHERE rank < blocks UNION ALL
+            SELECT source, rank, (1 << b) + rank FROM (SELECT source, b, unnest(range((hi - lo)::BIGINT, blocks)) AS rank FROM shares)
+        ), laps AS (
+            SELECT doc_id, source, size, begins, quota, begins + lap * source_size AS lo, least(begins + lap * source_size + size, quota) AS hi FROM laid, (VALUES (0), (1)) AS laps(lap)
+        ), pieces AS (
+            SELECT doc_id, source, unnest(range(lo // 128, (hi - 1) // 128 + 1)) AS rank FROM laps WHERE lo < hi
+        ), firsts AS (
+            SELECT p.doc_id, min(s.slot)::BIGINT AS first_slot FROM pieces p JOIN schedule s ON p.source IS NOT DISTINCT FROM s.source AND p.rank = s.rank GROUP BY p.doc_id
         )
         SELECT doc_id, size, source_size, target,
-               (greatest(0, least(begins + size, quota) - begins) + greatest(0, least(begins + size + source_size, quota) - begins - source_size))::BIGINT AS taken
-        FROM laid
+               (greatest(0, least(begins + size, quota) - begins) + greatest(0, least(begins + size + source_size, quota) - begins - source_size))::BIGINT AS taken,
+               first_slot
+        FROM laid LEFT JOIN firsts USING (doc_id)
     """,
     "op10_warc_derivatives": warc.oracle(),
 }

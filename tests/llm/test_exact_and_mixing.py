@@ -77,6 +77,15 @@ def test_mixing(spark):
             break
         fixed |= {s: 2 * size[s] for s in over}
     assert all(abs(want[s] - target[s]) < 1e-6 for s in want)
+    # a document's pieces are its part of the mix
+    listed = defaultdict(list)
+    for p in pieces:
+        listed[p["id"], p["source"], p["size"]].append((p["slot"], p["from_word"], p["n_words"]))
+    for d in docs:
+        own = sorted(listed[d["doc_id"], d["source"], d["size"]])
+        assert [tuple(x) for x in d["pieces"]] == own and d["first_slot"] == (own[0][0] if own else None)
+        if d["doc_id"] not in (1002,):
+            assert d["taken"] == sum(x[2] for x in own)
     # any stretch of the schedule holds every source close to its weight
     blocks = {}
     for p in pieces:
@@ -92,8 +101,8 @@ def test_mixing(spark):
 
 def test_mixing_of_nothing(spark):
     assert mixed(spark, [(1, None, "a", "x"), (2, " ", None, "x")])[1] == [
-        {"doc_id": 1, "source": "a", "size": 0, "source_size": 0, "target": 0.0, "taken": 0},
-        {"doc_id": 2, "source": None, "size": 0, "source_size": 0, "target": 0.0, "taken": 0},
+        {"doc_id": 1, "source": "a", "size": 0, "source_size": 0, "target": 0.0, "taken": 0, "first_slot": None, "pieces": []},
+        {"doc_id": 2, "source": None, "size": 0, "source_size": 0, "target": 0.0, "taken": 0, "first_slot": None, "pieces": []},
     ]
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mix_sources(df)[1].count() == 0
