@@ -222,8 +222,10 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Rows of a bucket beyond which its rows first meet its most central one; shingles that are known to be frequent, and how much of the rows tells them.
-CROWDED, FREQUENT, SAMPLE_ROWS, SAMPLE_SHARE = 16, 1_000_000, 20_000, 1 / 16
+#: Rows of a bucket beyond which its rows first meet its most central one; shingles that are known to be frequent.
+CROWDED, FREQUENT = 16, 1_000_000
+#: Shingles that a task counts before it sends a block; bytes of text for each bucket of counts, about.
+BLOCK_SHINGLES, BUCKET_BYTES = 1 << 19, 1 << 23
 #: Keeps rounding from turning a whole number into the next; a test that errs by it lets a pair through to the exact one.
 _EPS = 1e-9
 
@@ -237,30 +239,82 @@ def shingle_set(text: str | None, n: int) -> np.ndarray:
     return distinct_hashes(shingle_digests(text, n))
 
 
-def prefix(own: np.ndarray, similarity: float, hot: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def prefix(own: np.ndarray, similarity: float, hot: np.ndarray, counts: np.ndarray, shift: int) -> np.ndarray:
     """The first of a set's shingles in the order of (frequency, hash), so many that two sets with ``similarity`` share one of them."""
     k = len(own) - int(np.ceil(similarity * len(own) - _EPS)) + 1 if len(own) else 0
     if len(hot):
-        at = np.minimum(np.searchsorted(hot, own), len(hot) - 1)
-        own = own[np.argsort(np.where(hot[at] == own, counts[at], 0), kind="stable")]
+        cut = own.view(np.uint64) >> np.uint64(shift)
+        at = np.minimum(np.searchsorted(hot, cut), len(hot) - 1)
+        own = own[np.argsort(np.where(hot[at] == cut, counts[at], 0), kind="stable")]
     return own[:k]
 
 
-def _frequent(texts: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles of a sample of the rows, sorted, and their counts; what they are only bears on the cost."""
-    rows = texts.count()
-    share = max(SAMPLE_SHARE, min(1.0, SAMPLE_ROWS / max(rows, 1)))
+def _count_blocks(n: int, bucket_bits: int):
+    """Texts -> per bucket and block: the hashes of shingles, cut to the 40 bits below the bucket's, with the number of texts that have them."""
 
-    @F.pandas_udf("array<long>")
-    def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([shingle_set(t, n) for t in batch])
+    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sets, size = [], 0
+
+        def flush() -> pd.DataFrame:
+            keys, counts = np.unique(np.concatenate(sets).view(np.uint64) >> np.uint64(24 - bucket_bits), return_counts=True)
+            edges = np.searchsorted(keys >> np.uint64(40), np.arange((1 << bucket_bits) + 1).astype(np.uint64)).tolist()
+            high, low, counts = (keys >> np.uint64(8)).astype("<u4"), keys.astype(np.uint8), counts.astype("<u4")
+            rows = [(b, high[lo:hi].tobytes() + low[lo:hi].tobytes(), counts[lo:hi].tobytes()) for b, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False)) if hi > lo]
+            return pd.DataFrame(rows, columns=["bucket", "keys", "counts"])
 
-    sample = texts.where(F.pmod(F.xxhash64("node", F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20)))
-    counts = sample.select(F.explode(shingles("text")).alias("key")).groupBy("key").count().where("count >= 3")
-    found = counts.orderBy(F.col("count").desc(), "key").limit(FREQUENT).toPandas()
-    order = np.argsort(found["key"].to_numpy(np.int64))
-    return found["key"].to_numpy(np.int64)[order], found["count"].to_numpy(np.int64)[order]
+        for batch in batches:
+            for text in batch["text"]:
+                sets.append(shingle_set(text, n))
+                size += len(sets[-1])
+                if size >= BLOCK_SHINGLES:
+                    yield flush()
+                    sets, size = [], 0
+        if size:
+            yield flush()
+
+    return blocks
+
+
+def _merge_counts(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
+    """All blocks of a bucket -> the shingles that two texts or more have: per count, the sorted keys, packed."""
+    keys = []
+    for own in blocks["keys"]:
+        m = len(own) // 5
+        keys.append((np.frombuffer(own, "<u4", m).astype(np.uint64) << np.uint64(8)) | np.frombuffer(own, np.uint8, m, 4 * m))
+    keys, counts = np.concatenate(keys), np.frombuffer(b"".join(blocks["counts"]), "<u4").astype(np.int64)
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    keys, counts = keys[first] | np.uint64(int(key[0]) << 40), np.add.reduceat(counts, first)
+    keys, counts = keys[counts >= 2], counts[counts >= 2]
+    order = np.argsort(counts, kind="stable")
+    values, starts = np.unique(counts[order], return_index=True)
+    parts = np.split(keys[order], starts[1:])
+    return pd.DataFrame({"count": values, "n": [len(x) for x in parts][: len(values)], "keys": [x.astype("<u8").tobytes() for x in parts][: len(values)]})
+
+
+def _frequent(texts: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The most frequent shingles of all texts (their hashes' high bits, sorted), by how many texts have them, and the bits cut off.
+
+    Every text is counted. At most ``FREQUENT`` shingles are told, all down to one count; the others, which fewer texts have, come first in
+    the order of all. Any order that all texts share finds the same pairs; a better one only makes smaller buckets.
+    """
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    bucket_bits = min(16, max(5, (size // BUCKET_BYTES).bit_length()))
+    blocks = texts.select("text").mapInPandas(_count_blocks(n, bucket_bits), "bucket long, keys binary, counts binary")
+    counted = materialize(blocks.groupBy("bucket").applyInPandas(_merge_counts, "count long, n long, keys binary"), "shingle-counts")
+    least, told = None, 0
+    for count, m in counted.groupBy("count").agg(F.sum("n")).orderBy(F.col("count").desc()).collect():
+        told += m
+        if told > FREQUENT:
+            break
+        least = count
+    found = counted.where(F.col("count") >= least).select("count", "n", "keys").collect() if least else []
+    discard(counted)
+    keys = np.frombuffer(b"".join(r["keys"] for r in found), "<u8").astype(np.uint64)
+    counts = np.repeat(np.array([r["count"] for r in found], np.int64), np.array([r["n"] for r in found], np.int64))
+    order = np.argsort(keys)
+    return keys[order], counts[order], 24 - bucket_bits
 
 
 def _similar(similarity: float):
@@ -338,7 +392,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     * Fingerprints within ``distance`` bits miss copies with more changes, so prefix filtering (Bayardo, Ma and Srikant,
       WWW 2007) completes them: with the shingles of every text in one order, two texts with that similarity
       share one of the first (1 - similarity) of theirs, and at the first one in common both have as many shingles left as are
-      needed. The order puts frequent shingles last, which keeps buckets of equal shingles small. Rows of crowded buckets
+      needed. The order puts frequent shingles last (counted over all texts), which keeps buckets of equal shingles small. Rows of crowded buckets
       first meet their bucket's most central row; then only pairs are compared that lie in different components.
 
     Every link is decided by the whole shingle sets. Defined results: null and empty texts and texts without words are copies
@@ -357,10 +411,15 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         import xxhash
 
         for batch in batches:
-            digests = [shingle_digests(t, n) for t in batch]
-            sets = list(map(distinct_hashes, digests))
-            prints = [_signed(xxhash.xxh64_intdigest(s.tobytes(), 42)) for s in sets]
-            yield pd.DataFrame({"print": prints, "fp": [_signed(majority(d)) for d in digests], "size": [len(s) for s in sets], "prefix": [prefix(s, similarity, *frequent.value) for s in sets]})
+            # few texts' shingles at a time
+            parts = [rows_of(batch.iloc[i : i + 512], xxhash.xxh64_intdigest) for i in range(0, len(batch), 512)]
+            yield pd.concat(parts or [rows_of(batch, xxhash.xxh64_intdigest)], ignore_index=True)
+
+    def rows_of(texts: pd.Series, digest) -> pd.DataFrame:
+        digests = [shingle_digests(t, n) for t in texts]
+        sets = list(map(distinct_hashes, digests))
+        prints = [_signed(digest(s.tobytes(), 42)) for s in sets]
+        return pd.DataFrame({"print": prints, "fp": [_signed(majority(d)) for d in digests], "size": [len(s) for s in sets], "prefix": [prefix(s, similarity, *frequent.value).copy() for s in sets]})
 
     @F.pandas_udf("binary")
     def whole(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -377,6 +436,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = prints
     links = _similar_pairs(keys, rows, texts, similarity, distance, whole)
     discard(keys)
+    frequent.destroy()
     same = materialize(connected_components(links), "copies").withColumnRenamed("node", "print")
     rows = rows.select("node", "id", "print").join(same, "print", "left").withColumn("component", F.coalesce("component", "print"))
     least = rows.groupBy("component").agg(F.min_by("node", F.struct(F.col("id").isNull(), "id", "node")).alias("stays"), F.count("*").alias("n")).where("n > 1")

@@ -141,3 +141,26 @@ def test_near_copies_are_decided_exactly(spark):
         rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words[:cut]))]
     got = sorted(r.doc_id for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == kept_by_brute_force(rows) and 60 < len(got) < 120
+
+
+def test_frequent_shingles_are_counted_over_all_texts(spark, monkeypatch):
+    """Shingles by the number of texts that have them, from every text, however many there are; few are told, down to one count."""
+    rng = random.Random(11)
+    common = [f"c{i} " * 3 for i in range(30)]
+    rows = [(i, f"u{i} x{i} " + "".join(common[j] for j in range(30) if rng.random() < 1 / (j + 1)) if i % 50 else None) for i in range(21_000)]
+    texts = spark.createDataFrame(rows, "node long, text string").repartition(5)
+    monkeypatch.setattr(simhash, "BLOCK_SHINGLES", 10_000)
+    want = {}
+    for _, t in rows:
+        for h in simhash.shingle_set(t, 5).tolist():
+            want[h] = want.get(h, 0) + 1
+    for most in (1_000_000, 100):
+        monkeypatch.setattr(simhash, "FREQUENT", most)
+        keys, counts, shift = simhash._frequent(texts, 5)
+        told = sorted((c for c in want.values() if c >= 2), reverse=True)
+        if len(told) > most:
+            told = [c for c in told if c > told[most]]
+        least = min(told)
+        assert dict(zip(keys.tolist(), counts.tolist(), strict=True)) == {h % (1 << 64) >> shift: c for h, c in want.items() if c >= least}
+    empty = simhash._frequent(texts.limit(0), 5)
+    assert len(empty[0]) == len(empty[1]) == 0
