@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from lexquarry.llm.common import discard, materialize
+from lexquarry.llm.common import discard, materialize, release
 from lexquarry.llm.components import connected_components
 
 #: Shingles whose bits are counted at a time (64 bytes each).
@@ -333,7 +333,10 @@ def _similar(similarity: float):
 
 def _similar_pairs(keys: DataFrame, rows: DataFrame, texts: DataFrame, similarity: float, distance: int, whole) -> DataFrame:
     """Links (a, b) of distinct sets (print, size, pos, key: their first shingles) that connect all sets with ``similarity``."""
+    # each step has plans of dozens of stages: what they leave in the driver goes before the next one adds its own
+    spark = keys.sparkSession
     shared = materialize(keys.join(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key"), "shared-keys")
+    release(spark)
     once = rows.groupBy("print").agg(F.min("node").alias("node"))
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -344,6 +347,7 @@ def _similar_pairs(keys: DataFrame, rows: DataFrame, texts: DataFrame, similarit
         both = pairs.join(sets.select(F.col("print").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("print").alias("b"), F.col("set").alias("y")), "b")
         links = materialize(both.select("a", "b", "x", "y").mapInPandas(_similar(similarity), "a long, b long"), "links")
         discard(pairs, sets)
+        release(spark)
         return links
 
     sizes_fit = lambda x, y: F.least(x, y) >= F.lit(similarity) * F.greatest(x, y) - _EPS
@@ -352,6 +356,7 @@ def _similar_pairs(keys: DataFrame, rows: DataFrame, texts: DataFrame, similarit
     # the groups of the fingerprints
     fps = materialize(rows.groupBy("print").agg(F.min("fp").alias("fp")), "fingerprints")
     groups = materialize(linked_prints(fps.select("fp", F.col("fp").alias("node")).distinct(), distance), "groups")
+    release(spark)
     members = fps.join(groups.withColumnRenamed("node", "fp"), "fp").join(degree, "print").select("component", "print", "size", "degree")
     middle = members.groupBy("component").agg(F.max_by(F.struct("print", "size"), F.struct("degree", "print")).alias("m"))
     stars = members.join(middle, "component").where(F.col("print") != F.col("m.print")).where(sizes_fit(F.col("size"), F.col("m.size"))).select("print", "m")
@@ -361,6 +366,7 @@ def _similar_pairs(keys: DataFrame, rows: DataFrame, texts: DataFrame, similarit
     more = crowded.join(middle, ["key", "class"]).where(F.col("print") != F.col("m.print")).where(sizes_fit(F.col("size"), F.col("m.size"))).select("print", "m")
     stars = stars.unionByName(more).select(F.least("print", "m.print").alias("a"), F.greatest("print", "m.print").alias("b")).distinct()
     near = materialize(connected_components(verified(stars)), "near-groups").withColumnRenamed("node", "print").withColumnRenamed("component", "label")
+    release(spark)
 
     # all other pairs: in each bucket the rows that aren't the most frequent group's meet all rows of other groups
     labelled = shared.join(near, "print", "left").withColumn("label", F.coalesce("label", "print"))
@@ -368,6 +374,7 @@ def _similar_pairs(keys: DataFrame, rows: DataFrame, texts: DataFrame, similarit
     most = labelled.groupBy("key", "label").count().groupBy("key").agg(F.max_by("label", F.struct("count", "label")).alias("most"), F.count("*").alias("labels")).where("labels > 1")
     mixed = materialize(labelled.join(most.select("key", "most"), "key"), "mixed-keys")
     discard(shared, labelled)
+    release(spark)
     p, i = mixed.where("label <> most").alias("p"), mixed.alias("i")
     share = F.lit(similarity / (1 + similarity)) * (F.col("p.size") + F.col("i.size")) - _EPS
     # the first shingle in common has as many behind it in both as are needed; so pairs meet there, and by few others
@@ -433,6 +440,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     keys = materialize(keys, "keys")
     prints = materialize(rows.drop("prefix", "size"), "prints")
     discard(rows)
+    release(spark)
     rows = prints
     links = _similar_pairs(keys, rows, texts, similarity, distance, whole)
     discard(keys)
@@ -441,4 +449,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = rows.select("node", "id", "print").join(same, "print", "left").withColumn("component", F.coalesce("component", "print"))
     least = rows.groupBy("component").agg(F.min_by("node", F.struct(F.col("id").isNull(), "id", "node")).alias("stays"), F.count("*").alias("n")).where("n > 1")
     gone = materialize(rows.join(least, "component").where("node <> stays").select(F.col("node").alias("_near_copy")).distinct(), "near-copies")
+    release(spark)
     return docs.join(_small(gone), key == gone["_near_copy"], "left_anti")
