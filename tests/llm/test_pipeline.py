@@ -164,3 +164,14 @@ def test_frequent_shingles_are_counted_over_all_texts(spark, monkeypatch):
         assert dict(zip(keys.tolist(), counts.tolist(), strict=True)) == {h % (1 << 64) >> shift: c for h, c in want.items() if c >= least}
     empty = simhash._frequent(texts.limit(0), 5)
     assert len(empty[0]) == len(empty[1]) == 0
+
+
+def test_stages_give_back_the_drivers_memory(spark):
+    """Each stage has the driver's JVM collected in full before its result is computed, the near-duplicate stage after each of its steps too."""
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    full = lambda: sum(b.getCollectionCount() for b in beans if "Young" not in b.getName() and "Concurrent" not in b.getName())
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for name, stage in pipeline.STAGES:
+        before = full()
+        stage(spark, docs, "/root/testdata/sf0.001")
+        assert full() - before >= (5 if stage is pipeline.near else 1), name
